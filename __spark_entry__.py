@@ -92,7 +92,7 @@ def src_json_parse(spark, d):
     events = testdata.table(spark, d, "events").select(
         c("props").alias("value"), "event_id", "event_type"
     )
-    return readers.parse_records(events, T.StructType().add("k", "int"), ("event_id", "event_type"))
+    return readers.parse_records(events, T.StructType().add("k", "integer"), ("event_id", "event_type"))
 
 
 def src_csv_normalise(spark, d):

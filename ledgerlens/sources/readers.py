@@ -24,8 +24,8 @@ def _schema(columns, kinds: Mapping[str, str], extra=()) -> T.StructType:
     return out
 
 
-_FINANCE_KINDS = {n: "double" for n in rules.FINANCE_NUMERIC} | {n: "int" for n in _WHOLE}
-_PAYMENT_KINDS = {"amount_inr": "double"} | {n: "int" for n in _WHOLE}
+_FINANCE_KINDS = {n: "double" for n in rules.FINANCE_NUMERIC} | {n: "integer" for n in _WHOLE}
+_PAYMENT_KINDS = {"amount_inr": "double"} | {n: "integer" for n in _WHOLE}
 FINANCE_TYPED = _schema(rules.FINANCE_COLUMNS, _FINANCE_KINDS, METADATA)
 PAYMENTS_TYPED = _schema(rules.PAYMENT_COLUMNS, _PAYMENT_KINDS, METADATA)
 # the all-text landing, with the raw amount name
