@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ledgerlens.functions import rules
 from ledgerlens.functions.exact import half_up
 from ledgerlens.operators import cleaning, finance, payments, quality
-from ledgerlens.plans import checks, elt, etl, quality_run, star, warehouse
+from ledgerlens.plans import checks, elt, etl, pipeline, quality_run, star, warehouse
 from ledgerlens.sources import readers, testdata, workspace, writers
 from ledgerlens.streaming import jobs
 
@@ -69,11 +69,15 @@ def _prepared_etl(spark, d):
 
 
 def _pairs_etl(spark, d):
-    return etl.joined(payments.accepted_etl(_prepared_etl(spark, d)), _finance_etl(spark, d))
+    """Both cleaned sets, written to the shared folder and read back as the etl run does."""
+    return pipeline.stage_etl(
+        testdata.as_text(_finance(spark, d)), testdata.as_text(_payments(spark, d)),
+        workspace.new_path(spark, "etl"), rejected=False,
+    )
 
 
 def _warehouse(spark, d):
-    return warehouse.build(_pairs_etl(spark, d))
+    return pipeline.staged_warehouse(_pairs_etl(spark, d), workspace.new_path(spark, "dw"))
 
 
 def _from(stage: Callable, make: Callable, digits: dict[str, int] | None = None, default: int = 4) -> Query:
@@ -192,7 +196,7 @@ def dedup_full_row(spark, d):
 
 
 def except_rejected(spark, d):
-    prepared = _prepared_etl(spark, d)
+    prepared = _prepared_etl(spark, d).drop("amount_normalized")
     return portable(cleaning.except_rows(prepared, payments.accepted_etl(prepared)))
 
 
@@ -238,8 +242,7 @@ def global_checks(spark, d):
 
 def dq_uniqueness(spark, d):
     pairs = _pairs_etl(spark, d)
-    sends = payments.accepted_etl(_prepared_etl(spark, d))
-    before = quality.check_uniqueness(sends, ("transaction_id", "sender_state")).withColumn("stage", F.lit("payments"))
+    before = quality.check_uniqueness(pairs.payments, ("transaction_id", "sender_state")).withColumn("stage", F.lit("payments"))
     after = quality_run.uniqueness_checks(pairs).withColumn("stage", F.lit("joined"))
     return portable(before.unionByName(after))
 
@@ -337,8 +340,8 @@ def stream_tumbling_count(spark, d):
 
 
 def stream_event_counts(spark, d):
-    """The windowed count over the events table itself."""
-    events = spark.readStream.schema(testdata.table(spark, d, "events").schema).parquet(f"{d}/events.parquet")
+    """The windowed count over the events table itself (a pattern, so that it may be a file or a folder)."""
+    events = spark.readStream.schema(testdata.table(spark, d, "events").schema).parquet(f"{d}/[e]vents.parquet")
     rows = events.select(c("ts").cast("timestamp").alias("kafka_timestamp"), "event_type")
     out = workspace.new_path(spark, "stream-events")
     query = jobs.updates_to_parquet(

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands, rules, scores
+from ..functions.quantiles import imputation_statistics
 from . import cleaning
 
 
@@ -105,25 +106,48 @@ def add_features_etl(df: DataFrame) -> DataFrame:
     )
 
 
+def _keyed() -> Column:
+    return F.col("timestamp").isNotNull() & F.col("transaction_id").isNotNull()
+
+
 def _accepted() -> Column:
-    ok = (F.col("amount") > 0) & F.col("timestamp").isNotNull() & F.col("transaction_id").isNotNull()
-    return F.coalesce(ok, F.lit(False))
+    return F.coalesce((F.col("amount") > 0) & _keyed(), F.lit(False))
+
+
+def _statistics(base: DataFrame, method: str) -> DataFrame:
+    """One row: the median amount, and the extremes of the accepted amounts once gaps are filled.
+
+    Both come from the unfilled rows: a filled gap can only add the median itself.
+    """
+    extremes = base.agg(
+        F.min(F.when(_accepted(), F.col("amount"))).alias("_low"),
+        F.max(F.when(_accepted(), F.col("amount"))).alias("_high"),
+        F.count(F.when(F.col("amount").isNull() & _keyed(), 1)).alias("_gaps"),
+    )
+    both = imputation_statistics(base, ("amount",), method=method).crossJoin(F.broadcast(extremes))  # one row
+    filler = F.when((F.col("_gaps") > 0) & (F.col("median_amount") > 0), F.col("median_amount"))
+    return both.select(
+        "median_amount", F.least("_low", filler).alias("low_amount"), F.greatest("_high", filler).alias("high_amount")
+    )
 
 
 def prepared_etl(raw: DataFrame, method: str = "exact") -> DataFrame:
-    """Every de-duplicated row with its gaps filled and features added, good or bad."""
-    df = cleaning.impute_median(standardize_etl(raw), ("amount",), method)
-    return add_features_etl(cleaning.fill_constant(df, rules.PAYMENT_TEXT_DEFAULTS))
+    """Every de-duplicated row, good or bad: gaps filled, features and 0..1 scaling added."""
+    base = standardize_etl(raw)
+    df = cleaning.with_statistics(base, _statistics(base, method)).withColumns(cleaning.imputed(("amount",)))
+    df = cleaning.fill_constant(df, rules.PAYMENT_TEXT_DEFAULTS)
+    scaled = df.withColumn("amount_normalized", cleaning.minmax("amount"))
+    return add_features_etl(scaled.select(*base.columns, "amount_normalized"))
 
 
 def accepted_etl(prepared: DataFrame, as_of: Column | None = None) -> DataFrame:
-    df = cleaning.minmax_data(prepared.where(_accepted()), ("amount",))
+    df = prepared.where(_accepted())
     return df if as_of is None else cleaning.with_quality_flags(df, as_of)
 
 
 def rejected_etl(prepared: DataFrame) -> DataFrame:
     """The exact complement of the accepted rows, a NULL predicate included."""
-    return prepared.where(~_accepted())
+    return prepared.where(~_accepted()).drop("amount_normalized")
 
 
 def clean_etl(raw: DataFrame, method: str = "exact", as_of: Column | None = None):

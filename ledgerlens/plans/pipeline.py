@@ -44,28 +44,42 @@ def run_elt(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame
     return elt.mart_counts(marts)
 
 
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    writers.overwrite_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def stage_etl(finance_raw: DataFrame, payments_raw: DataFrame, base: str, as_of: Column | None = None,
+              rejected: bool = True) -> PairRelation:
+    """Clean both inputs into tables under ``base`` and pair what was written.
+
+    Reading the written rows back keeps every later result off the cleaning shuffles.
+    """
+    people = _staged(finance.clean_etl(finance_raw, as_of=as_of), f"{base}/clean/finance")
+    prepared = payments.prepared_etl(payments_raw)
+    if rejected:
+        prepared = _staged(prepared, f"{base}/staged/payments")
+        writers.overwrite_parquet(payments.rejected_etl(prepared), f"{base}/rejected/payments")
+    sends = _staged(payments.accepted_etl(prepared, as_of), f"{base}/clean/payments")
+    return etl.joined(sends, people)
+
+
+def staged_warehouse(pairs: PairRelation, base: str) -> warehouse.Warehouse:
+    """Dimensions written under ``base`` on first use, facts lazy."""
+    return warehouse.build(pairs, lambda df, name: _staged(df, f"{base}/{name}"))
+
+
 def run_etl(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame, base: str, database: str,
             as_of: Column | None = None) -> DataFrame:
     """Clean and rejected sets under ``base``, the star schema in ``database``, the quality report as JSON.
 
-    Returns the quality report. Stages are written and read back, so a later stage never
-    repeats the cleaning shuffles and dimension sizes are known when the fact is joined.
+    Returns the quality report.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        writers.overwrite_parquet(df, f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
-
-    people = stage(finance.clean_etl(finance_raw, as_of=as_of), "clean/finance")
-    prepared = stage(payments.prepared_etl(payments_raw), "staged/payments")
-    sends = stage(payments.accepted_etl(prepared, as_of), "clean/payments")
-    stage(payments.rejected_etl(prepared), "rejected/payments")
-    pairs = etl.joined(sends, people)
-    stage(etl.agg_age_merchant(pairs), "clean/aggregated")
-
-    checks = stage(
-        quality_run.all_check_rows(spark, pairs, etl.PAYMENT_COLUMNS, etl.PERSON_COLUMNS), "quality/checks"
+    pairs = stage_etl(finance_raw, payments_raw, base, as_of)
+    writers.overwrite_parquet(etl.agg_age_merchant(pairs), f"{base}/clean/aggregated")
+    checks = _staged(
+        quality_run.all_check_rows(spark, pairs, etl.PAYMENT_COLUMNS, etl.PERSON_COLUMNS), f"{base}/quality/checks"
     )
     report = quality_run.quality.quality_report(checks).withColumn("timestamp", as_of)
     writers.write_json_report(report, f"{base}/quality/report")
@@ -77,30 +91,23 @@ def load_warehouse(spark: SparkSession, pairs: PairRelation, database: str, as_o
     """Full refresh of the dimensions, partition-wise refresh of the fact, views registered."""
     writers.create_database(spark, database, "Star schema of spending patterns")
 
-    def table(df: DataFrame, name: str, partition_by=()) -> str:
+    def load(df: DataFrame, name: str, partition_by=()) -> DataFrame:
         full = f"{database}.{name}"
-        columns = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        writers.create_table(spark, full, columns, partition_by=partition_by)
-        return full
-
-    dims = {}
-    for name, make in warehouse.DIMENSIONS.items():
-        df = make(pairs)
-        full = table(df, name)
-        writers.insert_overwrite(df, full)
-        dims[name] = spark.table(full)
-    halves = {
-        "fact_payments": warehouse.payment_half(pairs, dims["dim_age_category"], dims["dim_merchant_category"]),
-        "fact_persons": warehouse.person_half(pairs, dims["dim_age_category"]),
-    }
-    for name, df in halves.items():
-        df = df.withColumn("load_timestamp", as_of)
-        if name == "fact_payments":
-            writers.refresh_partitions(df, table(df, name, ("transaction_year", "transaction_month")))
+        writers.create_table(spark, full, {f.name: f.dataType.simpleString() for f in df.schema.fields},
+                             partition_by=partition_by)
+        if partition_by:
+            writers.refresh_partitions(df, full)
         else:
-            writers.insert_overwrite(df, table(df, name))
-        halves[name] = spark.table(f"{database}.{name}")
-    loaded = warehouse.Warehouse(**dims, **halves)
+            writers.insert_overwrite(df, full)
+        return spark.table(full)
+
+    built = warehouse.build(pairs, load)
+    load(built.fact_payments.withColumn("load_timestamp", as_of), "fact_payments",
+         ("transaction_year", "transaction_month"))
+    load(built.fact_persons.withColumn("load_timestamp", as_of), "fact_persons")
+    loaded = warehouse.Warehouse(lambda name: spark.table(f"{database}.{name}"))
+    for name in warehouse.DIMENSIONS:
+        getattr(built, name)  # those no fact half has asked for yet
     for name, view in warehouse.VIEWS.items():
         view(loaded).createOrReplaceTempView(name)
     return loaded

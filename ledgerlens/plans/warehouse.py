@@ -6,7 +6,7 @@ determine, and the views multiply their aggregates. A pair's location key follow
 from the payment's state and the person's city tier, see ``location_cells``.
 """
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,17 +82,18 @@ PERSON_FACT_COLUMNS = (
 )
 
 
-@dataclass(frozen=True)
 class Warehouse:
-    """Dimensions and both fact halves, lazy or read back from written tables."""
+    """Dimensions and both fact halves by name, each made or opened on first use."""
 
-    dim_age_category: DataFrame
-    dim_occupation: DataFrame
-    dim_merchant_category: DataFrame
-    dim_location: DataFrame
-    dim_date: DataFrame
-    fact_payments: DataFrame
-    fact_persons: DataFrame
+    def __init__(self, open_table: Callable[[str], DataFrame]):
+        self._open, self._tables = open_table, {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        if name not in self._tables:
+            self._tables[name] = self._open(name)
+        return self._tables[name]
 
     @property
     def fact(self) -> PairRelation:
@@ -124,14 +125,22 @@ def person_half(pairs: PairRelation, age: DataFrame) -> DataFrame:
     return rows.select(*PERSON_FACT_COLUMNS)
 
 
-def build(pairs: PairRelation) -> Warehouse:
-    """The whole warehouse as lazy frames."""
-    dims = {name: make(pairs) for name, make in DIMENSIONS.items()}
-    return Warehouse(
-        **dims,
-        fact_payments=payment_half(pairs, dims["dim_age_category"], dims["dim_merchant_category"]),
-        fact_persons=person_half(pairs, dims["dim_age_category"]),
-    )
+FACT_HALVES = ("fact_payments", "fact_persons")
+TABLES = (*DIMENSIONS, *FACT_HALVES)
+
+
+def build(pairs: PairRelation, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Warehouse:
+    """The warehouse over cleaned inputs. ``keep`` may write a dimension and read it back,
+    after which its size is known to the planner; facts stay lazy."""
+    def make(name: str) -> DataFrame:
+        if name == "fact_payments":
+            return payment_half(pairs, built.dim_age_category, built.dim_merchant_category)
+        if name == "fact_persons":
+            return person_half(pairs, built.dim_age_category)
+        return keep(DIMENSIONS[name](pairs), name)
+
+    built = Warehouse(make)
+    return built
 
 
 def _merchant_cells(w: Warehouse, cells: DataFrame) -> DataFrame:
