@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions import rules
 from ledgerlens.functions.exact import half_up
+from ledgerlens.functions.onerow import beside
 from ledgerlens.operators import cleaning, finance, payments, quality
 from ledgerlens.plans import checks, elt, etl, pipeline, quality_run, star, warehouse
 from ledgerlens.sources import readers, testdata, workspace, writers
@@ -133,7 +134,7 @@ def snk_partitioned_raw(spark, d):
 def snk_audit_log(spark, d):
     raw = _finance(spark, d)
     audit = writers.audit_rows(raw, "finance", "INITIAL_LOAD")
-    return portable(audit.crossJoin(F.broadcast(writers.load_check(raw, "finance").drop("table_name"))))  # one row
+    return portable(beside(audit, writers.load_check(raw, "finance").drop("table_name")))
 
 
 # ---- cleaning steps -------------------------------------------------------------------------

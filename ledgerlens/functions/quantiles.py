@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .onerow import beside
+
 _RANK = "decimal(38,0)"
 BUCKET_WIDTH = 100.0
 
@@ -122,12 +124,12 @@ def imputation_statistics(
         ])
         if not quartiles:
             return middle
-        filled = df.crossJoin(F.broadcast(middle))  # one row
+        filled = beside(df, middle)
         edges = filled.agg(*[
             F.percentile_approx(F.coalesce(c, f"median_{c}"), F.lit(p), 10000).cast("double").alias(f"{k}_{c}")
             for c in quartiles for k, p in (("q1", 0.25), ("q3", 0.75))
         ])
-        return middle.crossJoin(F.broadcast(edges))
+        return beside(middle, edges)
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 

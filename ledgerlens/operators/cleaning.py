@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exact import MONEY, amount_of
+from ..functions.onerow import beside
 from ..functions.quantiles import imputation_statistics
 
 
@@ -31,7 +32,7 @@ def standardize_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def strip_inner_spaces(c: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(c, " ", "")))
+    return F.lower(F.translate(c, " ", ""))
 
 
 def clamp_non_negative(name: str) -> Column:
@@ -63,32 +64,40 @@ def duplicates_removed(df: DataFrame, key: str) -> DataFrame:
     ).withColumn("removed_rows", F.col("input_rows") - F.col("kept_rows"))
 
 
-def with_statistics(df: DataFrame, statistics: DataFrame) -> DataFrame:
-    """Put a one-row statistics frame beside every row."""
-    return df.crossJoin(F.broadcast(statistics))
-
-
 def imputed(columns: Sequence[str]) -> dict[str, Column]:
     """NULL to the column median (an element of the column, not an interpolation)."""
     return {c: F.coalesce(c, f"median_{c}") for c in columns}
 
 
+def outlier_fences(statistics: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Replace quartiles by the fences 1.5 times their distance outside them."""
+    fences = {}
+    for c in columns:
+        q1, q3 = F.col(f"q1_{c}"), F.col(f"q3_{c}")
+        reach = (q3 - q1) * F.lit(1.5)
+        fences |= {f"floor_{c}": q1 - reach, f"ceiling_{c}": q3 + reach}
+    return statistics.withColumns(fences).drop(*[f"{q}_{c}" for c in columns for q in ("q1", "q3")])
+
+
 def outlier_flag(c: str) -> Column:
-    """Outside the quartiles by 1.5 times their distance; NULL is no outlier."""
-    q1, q3 = F.col(f"q1_{c}"), F.col(f"q3_{c}")
-    reach = (q3 - q1) * F.lit(1.5)
-    return F.coalesce((F.col(c) < q1 - reach) | (F.col(c) > q3 + reach), F.lit(False))
+    """Outside the fences; NULL is no outlier."""
+    return F.coalesce(~F.col(c).between(F.col(f"floor_{c}"), F.col(f"ceiling_{c}")), F.lit(False))
+
+
+def scaling_ranges(statistics: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``range_<c>``: high less low, NULL where all values are equal."""
+    spans = {c: F.col(f"high_{c}") - F.col(f"low_{c}") for c in columns}
+    return statistics.withColumns({f"range_{c}": F.when(s > 0, s) for c, s in spans.items()})
 
 
 def minmax(c: str) -> Column:
-    """Scaled by the bounds of the data; NULL where all values are equal."""
-    low, high = F.col(f"low_{c}"), F.col(f"high_{c}")
-    return F.try_divide(F.col(c) - low, high - low)
+    """Scaled by the bounds of the data; NULL where there is no range."""
+    return (F.col(c) - F.col(f"low_{c}")) / F.col(f"range_{c}")
 
 
 def impute_median(df: DataFrame, columns: Sequence[str], method: str = "exact") -> DataFrame:
     statistics = imputation_statistics(df, columns, method=method)
-    return with_statistics(df, statistics).withColumns(imputed(columns)).select(*df.columns)
+    return beside(df, statistics).withColumns(imputed(columns)).select(*df.columns)
 
 
 def minmax_data(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -97,7 +106,7 @@ def minmax_data(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         f(c).cast("double").alias(f"{k}_{c}") for c in columns for k, f in (("low", F.min), ("high", F.max))
     ])
     scaled = [minmax(c).alias(f"{c}_normalized") for c in columns]
-    return with_statistics(df, bounds).select(*df.columns, *scaled)
+    return beside(df, scaling_ranges(bounds, columns)).select(*df.columns, *scaled)
 
 
 def with_quality_flags(df: DataFrame, as_of: Column | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, rules, scores
 from ..functions.exact import MONEY, amount_of
+from ..functions.onerow import beside
 from ..functions.quantiles import imputation_statistics
 from . import cleaning
 
@@ -107,7 +108,8 @@ def clean_etl(raw: DataFrame, method: str = "exact", as_of: Column | None = None
     base = standardize_etl(raw)
     scaled = ("income", "disposable_income")
     statistics = imputation_statistics(base, rules.FINANCE_NUMERIC, rules.OUTLIER_COLUMNS, scaled, method)
-    filled = cleaning.with_statistics(base, statistics).withColumns(cleaning.imputed(rules.FINANCE_NUMERIC))
+    statistics = cleaning.scaling_ranges(cleaning.outlier_fences(statistics, rules.OUTLIER_COLUMNS), scaled)
+    filled = beside(base, statistics).withColumns(cleaning.imputed(rules.FINANCE_NUMERIC))
     out = encode_etl(filled).select(
         *base.columns, "age_category", "occupation_encoded", "city_tier_encoded",
         *[cleaning.outlier_flag(c).alias(f"{c}_outlier_flag") for c in rules.OUTLIER_COLUMNS],

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands, rules, scores
+from ..functions.onerow import beside
 from ..functions.quantiles import imputation_statistics
 from . import cleaning
 
@@ -124,17 +125,18 @@ def _statistics(base: DataFrame, method: str) -> DataFrame:
         F.max(F.when(_accepted(), F.col("amount"))).alias("_high"),
         F.count(F.when(F.col("amount").isNull() & _keyed(), 1)).alias("_gaps"),
     )
-    both = imputation_statistics(base, ("amount",), method=method).crossJoin(F.broadcast(extremes))  # one row
+    both = beside(extremes, imputation_statistics(base, ("amount",), method=method))
     filler = F.when((F.col("_gaps") > 0) & (F.col("median_amount") > 0), F.col("median_amount"))
-    return both.select(
+    bounds = both.select(
         "median_amount", F.least("_low", filler).alias("low_amount"), F.greatest("_high", filler).alias("high_amount")
     )
+    return cleaning.scaling_ranges(bounds, ("amount",))
 
 
 def prepared_etl(raw: DataFrame, method: str = "exact") -> DataFrame:
     """Every de-duplicated row, good or bad: gaps filled, features and 0..1 scaling added."""
     base = standardize_etl(raw)
-    df = cleaning.with_statistics(base, _statistics(base, method)).withColumns(cleaning.imputed(("amount",)))
+    df = beside(base, _statistics(base, method)).withColumns(cleaning.imputed(("amount",)))
     df = cleaning.fill_constant(df, rules.PAYMENT_TEXT_DEFAULTS)
     scaled = df.withColumn("amount_normalized", cleaning.minmax("amount"))
     return add_features_etl(scaled.select(*base.columns, "amount_normalized"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exact import half_up, percent
+from ..functions.onerow import beside
 from ..functions.quantiles import exact_quantiles
 
 c = F.col
@@ -135,11 +136,11 @@ def check_distribution(df: DataFrame, columns: Sequence[str], weight: str | None
     first = df.agg(*aggregates)
     means = first.select(*[F.try_divide(c(f"_s{i}"), c(f"_n{i}").cast("double")).alias(f"_mean{i}") for i in range(len(names))])
     # second moment about the mean: sums of squares about zero would cancel
-    second = df.crossJoin(F.broadcast(means)).agg(*[
+    second = beside(df, means).agg(*[
         F.sum((c(n).cast("double") - c(f"_mean{i}")) * (c(n).cast("double") - c(f"_mean{i}")) * w).alias(f"_ss{i}")
         for i, n in enumerate(names)
     ])
-    one_row = first.crossJoin(F.broadcast(second))
+    one_row = beside(first, second)
     items = {
         n: F.struct(*[c(f"_{k}{i}").alias(k) for k in ("n", "s", "min", "max", "ss")]) for i, n in enumerate(names)
     }

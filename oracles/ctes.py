@@ -4,7 +4,7 @@ Written from the rules, not from the Spark code: cleaning in one pass per
 profile, and joined tables as plain joins that really make every pair.
 """
 
-from ledgerlens.sources.testdata import FINANCE_REPEATED, FINANCE_SQL, PAYMENTS_REPEATED, PAYMENTS_SQL
+from .adapter import FINANCE_REPEATED, FINANCE_SQL, PAYMENTS_REPEATED, PAYMENTS_SQL
 
 EXPENSES = (
     "rent loan_repayment insurance groceries transport eating_out entertainment utilities healthcare "
