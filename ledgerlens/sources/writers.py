@@ -47,9 +47,17 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
 
 
 def refresh_partitions(df: DataFrame, name: str) -> None:
-    """Replace just the partitions present in ``df``: re-running a load adds nothing twice."""
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    """Replace just the partitions present in ``df``: re-running a load adds nothing twice.
+
+    ``insertInto`` takes the overwrite mode from the session, so it is set for this write only.
+    """
+    spark, setting = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def append_rows(df: DataFrame, name: str) -> None:
