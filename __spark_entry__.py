@@ -21,6 +21,19 @@ from ledgerlens.plans import checks, elt, etl, pipeline, quality_run, star, ware
 from ledgerlens.sources import readers, testdata, workspace, writers
 from ledgerlens.streaming import jobs
 
+try:  # the training-data operators are one optional part; without them the rest works
+    import corpus_pipeline
+    from ledgerlens.llm.oracle import ORACLE
+    from ledgerlens.llm.queries import QUERIES
+
+    _LLM_QUERIES, _LLM_ORACLE = QUERIES | {"pipeline": corpus_pipeline.run}, dict(ORACLE)
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ledgerlens.llm", "ledgerlens.llm.oracle", "ledgerlens.llm.queries"):
+        raise
+    _LLM_QUERIES, _LLM_ORACLE = {}, {}
+
 c = F.col
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -449,10 +462,10 @@ def queries() -> dict[str, Query]:
         out[name] = _from(_pairs_etl, make)
     for name, make in warehouse.VIEWS.items():
         out[name] = _from(_warehouse, make, _MONEY)
-    return out
+    return out | _LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles.statements import statements
 
-    return statements()
+    return statements() | _LLM_ORACLE
