@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import sentencepieces, tokenfiles, urls
+from ledgerlens.llm import quality, sentencepieces, tokenfiles, topk, toxicity, urls
 from ledgerlens.llm.common import table
 
 #: Where the public vocabularies lie, the same on every machine.
@@ -19,17 +20,47 @@ def op1_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return sentencepieces.digests(sentencepieces.encode_decode(docs, f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"]))
 
 
+def op3_top_k(spark: SparkSession, d: str) -> DataFrame:
+    return topk.search(table(spark, d, "embeddings"), k=10, every=100)
+
+
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs, fold = table(spark, d, "documents").select("doc_id", "text"), quality.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, d, "labels").where(~fold))
+    scored = toxicity.score(docs, model, keep=["doc_id"]).withColumn("held_out", fold)
+    return quality.predicted(scored, 0.5).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, d, "pages"), rules)
 
 
+#: What op8 and the pipeline take for good.
+GOOD_FROM = 0.7
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    """Learnt from the labels of the three folds that are not held out."""
+    return quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"), 4, 2)))
+
+
+def op8_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(docs, table(spark, d, "labels")), keep=["doc_id"])
+    return quality.predicted(scored.withColumn("held_out", quality.held_out(F.col("doc_id"), 4, 2)), GOOD_FROM).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return tokenfiles.digests(tokenfiles.round_trip(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
 
 
 QUERIES = {
+    "op3_top_k": op3_top_k,
+    "op5_toxicity": op5_toxicity,
+    "op8_quality": op8_quality,
     "op1_sentencepiece": op1_sentencepiece,
     "op7_url_filter": op7_url_filter,
     "op10_token_files": op10_token_files,
