@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import quality, sentencepieces, tokenfiles, topk, toxicity, urls
+from ledgerlens.llm import chat, quality, sentencepieces, tokenfiles, topk, toxicity, urls
 from ledgerlens.llm.common import table
 
 #: Where the public vocabularies lie, the same on every machine.
@@ -52,6 +52,17 @@ def op8_quality(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted")
 
 
+#: A conversation whose texts hold the control strings of the template.
+TRICKY = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op9_chat(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(TRICKY, "conv_id long, turn long, role string, text string"))
+    template = chat.InstTemplate()
+    return chat.read_back(chat.format_conversations(rows, template), template)
+
+
 def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return tokenfiles.digests(tokenfiles.round_trip(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
@@ -63,5 +74,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op1_sentencepiece": op1_sentencepiece,
     "op7_url_filter": op7_url_filter,
+    "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
 }
