@@ -14,8 +14,9 @@ commits the files, so a lost task leaves nothing behind.
 from __future__ import annotations
 
 import os
+import re
 import struct
-import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +29,9 @@ from pyspark.sql import types as T
 
 from ledgerlens.llm.common import SLICE_ROWS, new_path
 
+#: Letters whose lower case is one letter, wherever they stand and however they are composed.
+_EARLY = re.compile("[\x00-\u012f\u0131-\u024f]*")
+_STOPS = frozenset(".,;:!?")
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
 BLOCK = 512
@@ -106,28 +110,54 @@ class Words(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if suffix and piece.endswith(suffix)]] = True
         normalizer = str(self.tokenizer.normalizer)
         self.apart = "Lowercase" in normalizer and "NFC" in normalizer and "Replace" in normalizer
 
     def learn(self, words: list[str]) -> None:
-        if len(self) + len(words) > REMEMBERED:
-            self.clear()
-        for at in range(0, len(words), 4096):
-            part = words[at:at + 4096]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[word] = np.array(coded.ids, dtype=np.uint32).tobytes()
+        """Adds words. Letters and what follows them are always parted, and case does not count, so stems are shared."""
+        parts = {w: self._parts(w) for w in words}
+        stems = sorted({p for ps in parts.values() for p in ps if p not in self})
+        plain = [s for s in stems if s.isalpha() and _EARLY.fullmatch(s)]
+        for at in range(0, len(plain), 500):
+            some = plain[at:at + 500]  # coded as one text; each word ends with a piece marked so
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            if len(ends) == len(some):
+                raw, start = ids.tobytes(), 0
+                for stem, end in zip(some, ends.tolist()):
+                    self[stem], start = raw[start:end], end
+        others = [s for s in stems if s not in self]
+        for at in range(0, len(others), 4096):
+            some = others[at:at + 4096]
+            for stem, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self[stem] = array("I", coded.ids).tobytes()
+        for word, ps in parts.items():
+            if len(ps) > 1 or ps[0] != word:
+                self[word] = b"".join([self[p] for p in ps])
+
+    @staticmethod
+    def _parts(word: str) -> list[str]:
+        if not _EARLY.fullmatch(word):
+            return [word]
+        low = word.lower()
+        if low[-1:] in _STOPS and low[:-1].isalpha():
+            return [low[:-1], low[-1]]
+        return [low]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts, as the library gives them, as unsigned 32-bit integers."""
         if not self.apart:
-            return [np.array(x.ids, dtype=np.uint32).tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+            return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.keys())
+        if len(self) >= REMEMBERED:
+            self.clear()
+        new = [w for w in set().union(*split) if w not in self]
         if new:
-            self.learn(sorted(new))
-            missing = set().union(*split).difference(self.keys())  # the memory was cleared
-            if missing:
-                self.learn(sorted(missing))
+            self.learn(new)
         return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
