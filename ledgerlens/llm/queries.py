@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, quality, sentencepieces, tokenfiles, topk, toxicity, urls
+from ledgerlens.llm import chat, jaccard, quality, sentencepieces, tokenfiles, topk, toxicity, urls
 from ledgerlens.llm.common import table
 
 #: Where the public vocabularies lie, the same on every machine.
@@ -31,6 +31,10 @@ def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return quality.predicted(scored, 0.5).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.classes(table(spark, d, "documents"), words=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, d, "pages"), rules)
@@ -71,6 +75,7 @@ def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op3_top_k": op3_top_k,
     "op5_toxicity": op5_toxicity,
+    "op6_jaccard_join": op6_jaccard_join,
     "op8_quality": op8_quality,
     "op1_sentencepiece": op1_sentencepiece,
     "op7_url_filter": op7_url_filter,
