@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, jaccard, quality, sentencepieces, tokenfiles, topk, toxicity, urls
+from ledgerlens.llm import chat, decontam, jaccard, quality, sentencepieces, tokenfiles, topk, toxicity, urls
 from ledgerlens.llm.common import table
 
 #: Where the public vocabularies lie, the same on every machine.
@@ -24,6 +24,10 @@ def op3_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.search(table(spark, d, "embeddings"), k=10, every=100)
 
 
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs, fold = table(spark, d, "documents").select("doc_id", "text"), quality.held_out(F.col("doc_id"), 5, 0)
     model = toxicity.fit(docs, table(spark, d, "labels").where(~fold))
@@ -74,6 +78,7 @@ def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op3_top_k": op3_top_k,
+    "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_jaccard_join": op6_jaccard_join,
     "op8_quality": op8_quality,
