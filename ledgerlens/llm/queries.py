@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, decontam, jaccard, quality, sentencepieces, tokenfiles, topk, toxicity, urls
+from ledgerlens.llm import chat, decontam, jaccard, lines, quality, sentencepieces, tokenfiles, topk, toxicity, urls
 from ledgerlens.llm.common import table
 
 #: Where the public vocabularies lie, the same on every machine.
@@ -20,6 +20,12 @@ def op1_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return sentencepieces.digests(sentencepieces.encode_decode(docs, f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"]))
 
 
+def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Each document that stays, with the digest of its remaining text and the number of its lines that went."""
+    out = lines.dedup(table(spark, d, "documents").select("doc_id", "text"), with_counts=True)
+    return out.select("doc_id", "lines_dropped", F.length("text").alias("chars_left"), F.md5("text").alias("text_md5"))
+
+
 def op3_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.search(table(spark, d, "embeddings"), k=10, every=100)
 
@@ -77,6 +83,7 @@ def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_top_k": op3_top_k,
     "op4_decontamination": op4_decontamination,
     "op5_toxicity": op5_toxicity,
