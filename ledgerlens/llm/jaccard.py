@@ -209,16 +209,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInArrow(run, PAIR)
 
 
-def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> DataFrame:
-    """``doc_id, n_shingles, key, component_id`` for each row of ``docs`` (``doc_id, text``).
+def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carry: list[str] | None = None) -> DataFrame:
+    """``doc_id, n_shingles, key, component, component_id`` for each row of ``docs`` (``doc_id, text``), and the columns to ``carry``.
 
     Two documents link when ``den * |intersection| >= num * |union|`` of their sets of
     ``words``-word shingles (A-Z in lower case); a text with fewer words has its whole
     sequence as one shingle. ``component_id`` is the smallest ``doc_id`` reachable by links.
     Null and empty texts, and texts of white space, have the empty set and link with nothing;
     their component is their own id. Repeated rows stay, each with the component of its text;
-    null ids take part and never name a component unless all ids of it are null. Other
-    columns are not carried. An empty table gives an empty result.
+    null ids take part and never name a component unless all ids of it are null. ``key`` names
+    the class of equal sets, ``component`` the group by its smallest key. An empty table gives an empty result.
     """
     def sketch():
         sizes, seen = Sizes(num, den), set()
@@ -242,7 +242,8 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> D
         return run
 
     made = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("key", T.LongType()), T.StructField("sigs", T.ArrayType(T.LongType()))])
-    sketched = staged(with_arrow_columns(docs.select("doc_id", "text"), "text", made, sketch, keep=["doc_id"]), "sketched")
+    carry = carry or []
+    sketched = staged(with_arrow_columns(docs.select("doc_id", "text", *carry), "text", made, sketch, keep=["doc_id", *carry]), "sketched")
     by_sig = Window.partitionBy("sig")
     offered = sketched.select("key", F.explode("sigs").alias("sig"))
     shared = offered.withColumns({"lo": F.min("key").over(by_sig), "hi": F.max("key").over(by_sig)}).where(F.col("lo") != F.col("hi"))
@@ -278,12 +279,11 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100) -> D
             break
         links = found if links is None else links.unionByName(found)
         components = connected(links)
-    linked = named if components is None else named.join(components.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "doc_id", F.coalesce("component", "key").alias("component"))
+    linked = named.withColumn("component", F.col("key"))
     if components is not None:
-        least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        linked = linked.join(least, "component").select("key", "component_id")
-    else:
-        linked = linked.withColumnRenamed("doc_id", "component_id")
-    return sketched.select("doc_id", "n_shingles", "key").join(linked, "key", "left").select(
-        "doc_id", "n_shingles", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        linked = named.join(components.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    linked = linked.join(least, "component").select("key", "component", "component_id")
+    return sketched.select("doc_id", "n_shingles", "key", *carry).join(linked, "key", "left").select(
+        "doc_id", "n_shingles", "key", "component",
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *carry)
