@@ -22,8 +22,11 @@ def mean(name: str | Column) -> Column:
 
 
 def half_up(value: Column, digits: int) -> Column:
-    """Round half up in decimal arithmetic, so that 0.005 goes to 0.01 for doubles too."""
-    return F.round(value.try_cast("decimal(38,10)"), digits)
+    """A double, rounded half up in decimal arithmetic, so that 0.005 goes to 0.01 for doubles too.
+
+    From 1e28 on, where no decimal has room for the fraction (nor a double), the value stays as it is.
+    """
+    return F.coalesce(F.round(value.try_cast("decimal(38,10)"), digits).cast("double"), value.cast("double"))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -1,36 +1,46 @@
-"""Dense surrogate keys without a global sort."""
+"""Surrogate keys that do not depend on which other rows are loaded, and row numbers."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.workspace import new_path
 
-def dense_id(
-    df: DataFrame, name: str, key: Sequence[str], then: Sequence[str] = (), digits: int = 3
-) -> DataFrame:
-    """Add ``name``: 1..n in the order of md5(key), then key.
+#: Hex digits of the digest that make a key: 60 bits, so a BIGINT holds it.
+DIGITS = 15
 
-    The md5 prefix spreads rows evenly over 16**digits buckets, whatever the key
-    looks like; each bucket is numbered on its own and shifted by the rows of the
-    buckets before it. The same input gives the same ids after any retry. Rows
-    that share a key are ordered by the columns in ``then``.
+
+def stable_id(key: Sequence[str]) -> Column:
+    """The key of a row from its natural key alone: the same in every load, and no shuffle is needed.
+
+    Two natural keys share an id with a chance of about n^2 / 2^61; ``id_collisions`` checks it.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("~")) for k in key])
-    hashed = df.withColumn("_h", F.md5(text)).withColumn("_b", F.substring("_h", 1, digits))
-    # at most 16**digits rows, so one task may add them up and every task may hold them
-    before = (
-        hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_b",
-            (F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-             - F.col("_n")).alias("_before"),
-        )
-    )
-    within = Window.partitionBy("_b").orderBy("_h", *key, *then)
-    return (
-        hashed.withColumn("_r", F.row_number().over(within))
-        .join(F.broadcast(before), "_b")
-        .withColumn(name, F.col("_before") + F.col("_r"))
-        .drop("_h", "_b", "_r", "_before")
-    )
+    return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("bigint")
+
+
+def id_collisions(df: DataFrame, name: str) -> DataFrame:
+    """Ids that more than one row of a dimension has."""
+    return df.groupBy(name).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+
+
+def row_numbers(df: DataFrame, name: str, order: Sequence[str]) -> DataFrame:
+    """Add ``name``: 1..n in the order given, then of all other columns.
+
+    Rows are range-partitioned, so a value that many rows share is spread over tasks by the
+    columns after it; only rows that are equal throughout can meet in one, and their numbers
+    are interchangeable. The sorted rows are written once, because the bounds of the ranges
+    are sampled: numbers are then the same on every later read.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, "numbered")
+    columns = [*order, *[n for n in df.columns if n not in order]]
+    df.repartitionByRange(*columns).sortWithinPartitions(*columns).withColumn(
+        "_at", F.monotonically_increasing_id()
+    ).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    # one row per partition of the write: a bounded table that every task may hold
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.col("_at") - F.shiftleft("_part", 33)
+    return rows.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + place + 1).select(*df.columns, name)

@@ -27,7 +27,7 @@ def standardize_elt(raw: DataFrame) -> DataFrame:
     """
     zero = F.lit(0).cast(MONEY)
     base = required_keys(raw).select(
-        F.col("id").try_cast("int").alias("person_id"),
+        F.col("id").try_cast("bigint").alias("person_id"),
         F.coalesce(amount_of("income"), zero).alias("income"),
         F.coalesce(F.col("age").try_cast("int"), F.lit(0)).alias("age"),
         F.coalesce(F.col("dependents").try_cast("int"), F.lit(0)).alias("dependents"),

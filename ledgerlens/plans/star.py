@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.exact import half_up, mean
-from ..functions.keys import dense_id
+from ..functions.keys import stable_id
 
 c = F.col
 
@@ -20,6 +20,11 @@ def _null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
+#: Columns that tell two clean rows apart: cleaning leaves no two rows that agree in all of them.
+FINANCE_ROW = ("person_id", *[n for n in rules.FINANCE_COLUMNS if n != "id"])
+PAYMENT_ROW = ("transaction_id", "transaction_timestamp", *[n for n in rules.PAYMENT_COLUMNS if n not in ("transaction_id", "timestamp")])
+
+
 def dim_age_group(clean_finance: DataFrame) -> DataFrame:
     """One row per band in use; the last band and Unknown are open."""
     bands = clean_finance.select("age_range", "age_category").distinct()  # six labels at most
@@ -65,8 +70,8 @@ def dim_transaction_type(clean_payments: DataFrame) -> DataFrame:
     kinds = clean_payments.select(
         "transaction_type", c("transaction_type_category").alias("transaction_category")
     ).distinct()
-    return dense_id(kinds, "transaction_type_sk", ("transaction_type",)).select(
-        c("transaction_type_sk").cast("int").alias("transaction_type_sk"), "transaction_type",
+    return kinds.select(
+        stable_id(("transaction_type",)).alias("transaction_type_sk"), "transaction_type",
         "transaction_category", _null("string").alias("description"),
     )
 
@@ -76,9 +81,7 @@ def dim_merchant_category(clean_payments: DataFrame) -> DataFrame:
         "merchant_category", c("merchant_category_group").alias("category_group"),
         (c("spending_type") == "Essential").alias("is_essential"),
     ).agg(half_up(mean("amount_inr"), 2).cast("decimal(12,2)").alias("avg_transaction_amount"))
-    return dense_id(merchants, "merchant_category_sk", ("merchant_category",)).select(
-        c("merchant_category_sk").cast("int").alias("merchant_category_sk"), *merchants.columns
-    )
+    return merchants.select(stable_id(("merchant_category",)).alias("merchant_category_sk"), *merchants.columns)
 
 
 def dim_date(clean_payments: DataFrame, fiscal_start_month: int = 4) -> DataFrame:
@@ -99,8 +102,8 @@ def dim_date(clean_payments: DataFrame, fiscal_start_month: int = 4) -> DataFram
 
 def dim_location(clean_payments: DataFrame) -> DataFrame:
     states = clean_payments.select(c("sender_state").alias("state_name")).distinct()
-    return dense_id(states, "location_sk", ("state_name",)).select(
-        c("location_sk").cast("int").alias("location_sk"), "state_name", _null("string").alias("region"),
+    return states.select(
+        stable_id(("state_name",)).alias("location_sk"), "state_name", _null("string").alias("region"),
         _null("string").alias("tier"), _null("string").alias("population_category"),
     )
 
@@ -108,10 +111,7 @@ def dim_location(clean_payments: DataFrame) -> DataFrame:
 def fact_personal_finance(clean_finance: DataFrame, age_groups: DataFrame, snapshot: Column) -> DataFrame:
     """One row per clean finance row, dated by ``snapshot`` (the inputs carry no date)."""
     day = F.to_date(snapshot)
-    rows = dense_id(
-        clean_finance, "finance_fact_sk", ("person_id",),
-        [n for n in clean_finance.columns if n != "person_id"],
-    )
+    rows = clean_finance.withColumn("finance_fact_sk", stable_id(FINANCE_ROW))
     keys = F.broadcast(age_groups.select("age_group_sk", "age_range"))  # six rows at most
     return rows.join(keys, "age_range", "left").select(
         "finance_fact_sk", c("person_id").cast("bigint").alias("person_sk"), "age_group_sk",
@@ -130,10 +130,7 @@ def fact_upi_transaction(
     Age groups are six rows and broadcast. The other dimensions are joined without a
     hint, so Spark broadcasts them by measured size and splits a hot key otherwise.
     """
-    rows = dense_id(
-        clean_payments, "transaction_fact_sk", ("transaction_id",),
-        [n for n in clean_payments.columns if n != "transaction_id"],
-    )
+    rows = clean_payments.withColumn("transaction_fact_sk", stable_id(PAYMENT_ROW))
     ages = age_groups.select("age_group_sk", "age_category")
     for side in ("sender", "receiver"):
         keys = ages.select(c("age_group_sk").alias(f"{side}_age_group_sk"), c("age_category").alias(f"{side}_age_category"))

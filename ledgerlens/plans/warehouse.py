@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bands
-from ..functions.keys import dense_id
+from ..functions import rules
+from ..functions.keys import stable_id
 from ..operators.pairs import PAYMENTS, PERSONS, PairRelation, pair_rows
 from . import etl
 
@@ -21,9 +22,10 @@ c = F.col
 
 def dim_age_category(pairs: PairRelation) -> DataFrame:
     labels = pairs.matched_payments().select("age_category").distinct()
-    # six labels at most, so one ordered window numbers them
+    # the place in the fixed list of labels, so a load that lacks one shifts no other
+    known = F.array(*[F.lit(x) for x in sorted({category for *_, category in rules.AGE_BANDS} | {"Unknown"})])
     return labels.select(
-        F.row_number().over(Window.orderBy("age_category")).cast("int").alias("age_category_id"),
+        F.array_position(known, c("age_category")).cast("int").alias("age_category_id"),
         "age_category", bands.range_of_category(c("age_category")).alias("age_range"),
     ).withColumn("description", F.concat(F.lit("Age group: "), "age_range"))
 
@@ -38,8 +40,8 @@ def dim_occupation(pairs: PairRelation) -> DataFrame:
 
 def dim_merchant_category(pairs: PairRelation) -> DataFrame:
     names = pairs.matched_payments().select(c("merchant_category").alias("category_name")).distinct()
-    return dense_id(names, "merchant_category_id", ("category_name",)).select(
-        c("merchant_category_id").cast("int").alias("merchant_category_id"), "category_name",
+    return names.select(
+        stable_id(("category_name",)).alias("merchant_category_id"), "category_name",
         F.lit("UPI").alias("category_type"),
     )
 
@@ -49,8 +51,8 @@ def dim_location(pairs: PairRelation) -> DataFrame:
     states = pairs.payments.select("age_category", "sender_state").distinct()
     tiers = pairs.persons.select("age_category", "city_tier").distinct()
     places = states.join(tiers, "age_category").select(c("sender_state").alias("state"), "city_tier").distinct()
-    return dense_id(places, "location_id", ("state", "city_tier")).select(
-        c("location_id").cast("int").alias("location_id"), "state", "city_tier", F.lit("India").alias("region")
+    return places.select(
+        stable_id(("state", "city_tier")).alias("location_id"), "state", "city_tier", F.lit("India").alias("region")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules
-from ..functions.keys import dense_id
+from ..functions.keys import row_numbers
 
 METADATA = ("_extracted_at", "_source")
 # whole numbers of the typed landing; everything else numeric is a double
@@ -24,7 +24,7 @@ def _schema(columns, kinds: Mapping[str, str], extra=()) -> T.StructType:
     return out
 
 
-_FINANCE_KINDS = {n: "double" for n in rules.FINANCE_NUMERIC} | {n: "integer" for n in _WHOLE}
+_FINANCE_KINDS = {n: "double" for n in rules.FINANCE_NUMERIC} | {n: "integer" for n in _WHOLE} | {"id": "long"}
 _PAYMENT_KINDS = {"amount_inr": "double"} | {n: "integer" for n in _WHOLE}
 FINANCE_TYPED = _schema(rules.FINANCE_COLUMNS, _FINANCE_KINDS, METADATA)
 PAYMENTS_TYPED = _schema(rules.PAYMENT_COLUMNS, _PAYMENT_KINDS, METADATA)
@@ -101,12 +101,12 @@ def read_finance_seed(spark: SparkSession, path: str) -> DataFrame:
     names = [n for n in rules.FINANCE_COLUMNS if n != "id"]
     text = read_csv(spark, path, names)
     typed = text.select(*[F.col(n).try_cast(_seed_kind(n)).alias(n) for n in names])
-    return dense_id(typed, "id", names).select(F.col("id").cast("int").alias("id"), *names)
+    return row_numbers(typed, "id", names).select("id", *names)
 
 
 def _seed_kind(name: str) -> str:
     if name in _WHOLE:
-        return "int"
+        return "bigint" if name == "id" else "int"
     if name == "desired_savings_percentage":
         return "decimal(5,2)"
     return "decimal(12,2)" if name in rules.FINANCE_NUMERIC else "string"
@@ -125,7 +125,7 @@ def normalise_payment_csv(text: DataFrame, source: str = "csv_file", as_of: Colu
 
 def numbered(records: DataFrame, key: str) -> DataFrame:
     """``_record_number`` 1..n, the same on every run over the same rows."""
-    return dense_id(records, "_record_number", (key,), [n for n in records.columns if n != key])
+    return row_numbers(records, "_record_number", (key,))
 
 
 def read_jdbc(

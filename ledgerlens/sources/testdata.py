@@ -66,7 +66,7 @@ def finance_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         return offset + k * step % modulus
 
     made = {
-        "id": k.cast("int"),
+        "id": k.cast("bigint"),
         "income": F.when(~_every(k, 97), _money(income / F.lit(100.0))),
         "age": F.when(~_every(k, 89), (16 + k % 49).cast("int")),
         "dependents": (k % 5).cast("int"),
@@ -93,7 +93,7 @@ def payments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     hour = F.lpad((k % 24).cast("string"), 2, "0")
     made = {
-        "transaction_id": F.concat(F.lit("TXN"), F.lpad(k.cast("string"), 9, "0")),
+        "transaction_id": F.concat(F.lit("TXN"), F.lpad(k.cast("string"), F.greatest(F.lit(9), F.length(k.cast("string"))), F.lit("0"))),
         "timestamp": F.when(~_every(k, 307), F.concat(
             F.substring(F.col("o_orderdate").cast("string"), 1, 10), F.lit(" "), hour, F.lit(":15:00"))),
         "transaction_type": _label(k, TYPES), "merchant_category": _label(k, MERCHANTS), "amount_inr": amount,

@@ -5,7 +5,7 @@ WITH b AS (
   SELECT c_custkey AS k, c_nationkey AS nk, c_mktsegment AS seg,
          (CAST(ROUND(c_acctbal * 100) AS BIGINT) + 100000) * 12 AS inc
   FROM {customer})
-SELECT CAST(k AS INT) AS id,
+SELECT CAST(k AS BIGINT) AS id,
   CASE WHEN k % 97 = 0 THEN NULL ELSE CAST(inc / CAST(100 AS DOUBLE) AS DECIMAL(12,2)) END AS income,
   CASE WHEN k % 89 = 0 THEN NULL ELSE CAST(16 + k % 49 AS INT) END AS age,
   CAST(k % 5 AS INT) AS dependents,
@@ -38,7 +38,7 @@ FROM b
 """
 
 PAYMENTS_SQL = """
-SELECT CONCAT('TXN', LPAD(CAST(o_orderkey AS STRING), 9, '0')) AS transaction_id,
+SELECT CONCAT('TXN', LPAD(CAST(o_orderkey AS STRING), CAST(greatest(9, length(CAST(o_orderkey AS STRING))) AS INT), '0')) AS transaction_id,
   CASE WHEN o_orderkey % 307 = 0 THEN NULL
        ELSE CONCAT(SUBSTRING(CAST(o_orderdate AS STRING), 1, 10), ' ', LPAD(CAST(o_orderkey % 24 AS STRING), 2, '0'), ':15:00') END AS timestamp,
   CASE o_orderkey % 4 WHEN 0 THEN 'P2P' WHEN 1 THEN ' P2M' WHEN 2 THEN 'Bill Payment' ELSE 'Recharge' END AS transaction_type,

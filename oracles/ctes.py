@@ -260,12 +260,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "dim_merchant": (
         ("pairs_base",),
-        """SELECT CAST(row_number() OVER (ORDER BY md5(merchant_category), merchant_category) AS INT) AS merchant_category_id,
+        """SELECT CAST('0x' || substr(md5(merchant_category), 1, 15) AS BIGINT) AS merchant_category_id,
         merchant_category AS category_name FROM (SELECT DISTINCT merchant_category FROM pairs_base)""",
     ),
     "dim_place": (
         ("pairs_base",),
-        """SELECT CAST(row_number() OVER (ORDER BY md5(concat(sender_state, '|', city_tier)), sender_state, city_tier) AS INT) AS location_id,
+        """SELECT CAST('0x' || substr(md5(concat(coalesce(sender_state, '~'), '|', coalesce(city_tier, '~'))), 1, 15) AS BIGINT) AS location_id,
         sender_state AS state, city_tier, 'India' AS region FROM (SELECT DISTINCT sender_state, city_tier FROM pairs_base)""",
     ),
     "dim_occ": (

@@ -112,7 +112,7 @@ def _sources() -> dict[str, str]:
         "src_parquet": "SELECT o_orderkey, o_custkey, " + dbl("o_totalprice", 4) + " FROM orders WHERE o_orderstatus = 'P'",
         "src_json_parse": "SELECT CAST(props->>'$.k' AS INT) AS k, event_id, event_type FROM events",
         "src_csv_normalise": build(
-            f"SELECT *, row_number() OVER (ORDER BY md5(transaction_id), transaction_id) AS _record_number FROM ("
+            f"SELECT *, row_number() OVER (ORDER BY transaction_id) AS _record_number FROM ("
             f"SELECT {csv_text}, {csv_whole}, CAST(coalesce(amount_inr, 0) AS DOUBLE) AS amount_inr, "
             f"'csv_file' AS _source FROM payments_raw)", "payments_raw"),
         "src_jdbc_to_json": build(
@@ -415,11 +415,17 @@ def _etl() -> dict[str, str]:
     }
 
 
+def row_id(columns: list[str], of: str = "") -> str:
+    """The surrogate key of a row: the first 60 bits of the md5 of its columns."""
+    text = " || '|' || ".join(f"coalesce(CAST({of}{c} AS VARCHAR), '~')" for c in columns)
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
 def _star() -> dict[str, str]:
     s_age = "SELECT row_number() OVER (ORDER BY age_range) AS age_group_sk, age_range, age_category FROM (SELECT DISTINCT age_range, age_category FROM finance_elt)"
-    types = "SELECT CAST(row_number() OVER (ORDER BY md5(transaction_type)) AS INT) AS transaction_type_sk, transaction_type, transaction_type_category AS transaction_category FROM (SELECT DISTINCT transaction_type, transaction_type_category FROM payments_elt)"
-    merchants = f"SELECT CAST(row_number() OVER (ORDER BY md5(coalesce(merchant_category, '~'))) AS INT) AS merchant_category_sk, * FROM (SELECT merchant_category, merchant_category_group AS category_group, spending_type = 'Essential' AS is_essential, {avg('amount_inr', 'avg_transaction_amount', 2)} FROM payments_elt GROUP BY 1, 2, 3)"
-    places = "SELECT CAST(row_number() OVER (ORDER BY md5(sender_state)) AS INT) AS location_sk, sender_state AS state_name FROM (SELECT DISTINCT sender_state FROM payments_elt)"
+    types = "SELECT CAST('0x' || substr(md5(coalesce(transaction_type, '~')), 1, 15) AS BIGINT) AS transaction_type_sk, transaction_type, transaction_type_category AS transaction_category FROM (SELECT DISTINCT transaction_type, transaction_type_category FROM payments_elt)"
+    merchants = f"SELECT CAST('0x' || substr(md5(coalesce(merchant_category, '~')), 1, 15) AS BIGINT) AS merchant_category_sk, * FROM (SELECT merchant_category, merchant_category_group AS category_group, spending_type = 'Essential' AS is_essential, {avg('amount_inr', 'avg_transaction_amount', 2)} FROM payments_elt GROUP BY 1, 2, 3)"
+    places = "SELECT CAST('0x' || substr(md5(coalesce(sender_state, '~')), 1, 15) AS BIGINT) AS location_sk, sender_state AS state_name FROM (SELECT DISTINCT sender_state FROM payments_elt)"
     null = lambda kind, name: f"CAST(NULL AS {kind}) AS {name}"
     fiscal = "CAST(full_date AS DATE) - INTERVAL 3 MONTH"
     return {
@@ -438,12 +444,12 @@ def _star() -> dict[str, str]:
             FROM (SELECT DISTINCT CAST(transaction_timestamp AS DATE) AS full_date FROM payments_elt)""", "payments_elt"),
         "star_dim_location": build(f"SELECT *, {null('VARCHAR', 'region')}, {null('VARCHAR', 'tier')}, {null('VARCHAR', 'population_category')} FROM ({places})", "payments_elt"),
         "star_fact_personal_finance": build(
-            f"""SELECT row_number() OVER (ORDER BY md5(CAST(person_id AS VARCHAR)), person_id) AS finance_fact_sk, CAST(person_id AS BIGINT) AS person_sk, age_group_sk,
+            f"""SELECT {row_id(['person_id', *[c for c in FINANCE if c != 'id']])} AS finance_fact_sk, CAST(person_id AS BIGINT) AS person_sk, age_group_sk,
             {null('INT', 'location_sk')}, 20240131 AS date_sk, {lst(f'CAST({c} AS DOUBLE) AS {c}' for c in [*NUMERIC, 'total_expenses', 'total_potential_savings'])},
             {null('DOUBLE', 'actual_savings')}, {null('DOUBLE', 'savings_rate')}, 2024 AS year, 1 AS month
             FROM finance_elt JOIN ({s_age}) USING (age_range)""", "finance_elt"),
         "star_fact_upi_transaction": build(
-            f"""SELECT row_number() OVER (ORDER BY md5(transaction_id), transaction_id) AS transaction_fact_sk, transaction_id, transaction_type_sk, merchant_category_sk,
+            f"""SELECT {row_id(['transaction_id', 'transaction_timestamp', *[c for c in RAW_PAYMENT if c not in ('transaction_id', 'timestamp')]], 'u.')} AS transaction_fact_sk, transaction_id, transaction_type_sk, merchant_category_sk,
             a.age_group_sk AS sender_age_group_sk, b.age_group_sk AS receiver_age_group_sk, location_sk AS sender_location_sk,
             CAST(strftime(transaction_timestamp, '%Y%m%d') AS INT) AS date_sk, {text('transaction_timestamp')}, CAST(amount_inr AS DOUBLE) AS amount_inr, transaction_status,
             sender_bank, receiver_bank, device_type, network_type, fraud_flag, {rnd('fraud_score')} AS fraud_score, hour_of_day, day_of_week, is_weekend,
