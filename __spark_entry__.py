@@ -232,7 +232,8 @@ def union_all_mapping(spark, d):
 
 
 def sample_limit(spark, d):
-    return portable(_finance(spark, d).limit(5))
+    """A preview: the first five profiles by id."""
+    return portable(_finance(spark, d).distinct().orderBy("id").limit(5))
 
 
 def order_by_group(spark, d):
@@ -319,14 +320,17 @@ def scd1_upsert_person(spark, d):
 
 # ---- streams --------------------------------------------------------------------------------
 
+_BOUNDED = {"maxFilesPerTrigger": str(writers.SLICE_FILES)}
+
+
 def _topic(spark, df: DataFrame, key: str, when) -> str:
-    """Land records as a file topic in the shared folder."""
+    """Land records as a file topic in the shared folder, files in order of time."""
     path = workspace.new_path(spark, "topic")
     records = readers.to_json_records(df.withColumn("_at", when), key, "table").select(
         c("key").cast("binary").alias("key"), c("value").cast("binary").alias("value"),
         F.get_json_object("value", "$._at").cast("timestamp").alias("timestamp"),
     )
-    records.write.parquet(path)
+    writers.write_in_time_order(records, path)
     return path
 
 
@@ -343,9 +347,9 @@ def stream_passthrough(spark, d):
     return portable(spark.read.parquet(out).drop("processed_at"))
 
 
-def stream_tumbling_count(spark, d):
+def _payment_counts(spark, topic):
     out = workspace.new_path(spark, "stream-counts")
-    records = readers.read_topic(spark, {}, "parquet", _payment_topic(spark, d), stream=True)
+    records = readers.read_topic(spark, _BOUNDED, "parquet", topic, stream=True)
     query = jobs.updates_to_parquet(jobs.payment_counts(records), out, workspace.new_path(spark, "ckpt"))
     query.awaitTermination()
     by = ("transaction_status", "sender_age_group")
@@ -353,10 +357,28 @@ def stream_tumbling_count(spark, d):
     return portable(counts.select(c("window.start").alias("window_start"), c("window.end").alias("window_end"), *by, "count"))
 
 
+def stream_tumbling_count(spark, d):
+    return _payment_counts(spark, _payment_topic(spark, d))
+
+
+def stream_late_drop(spark, d):
+    """The same counts although every record of the oldest tenth comes once more, after all others: it is too late."""
+    topic = _payment_topic(spark, d)
+    records = spark.read.schema(readers.RECORD).parquet(topic)
+    at = c("timestamp").cast("double")
+    old = records.agg(F.percentile_approx(at, 0.1, 1000).alias("t"))
+    late = beside(records, old).where(at < c("t")).drop("t")
+    staged = workspace.new_path(spark, "late")
+    late.write.parquet(staged)
+    spark.read.schema(readers.RECORD).parquet(staged).repartition(writers.SLICE_FILES).write.mode("append").parquet(topic)
+    return _payment_counts(spark, topic)
+
+
 def stream_event_counts(spark, d):
-    """The windowed count over the events table itself (a pattern, so that it may be a file or a folder)."""
-    events = spark.readStream.schema(testdata.table(spark, d, "events").schema).parquet(f"{d}/[e]vents.parquet")
-    rows = events.select(c("ts").cast("timestamp").alias("kafka_timestamp"), "event_type")
+    """The windowed count over the events table, replayed in order of time."""
+    events, topic = testdata.table(spark, d, "events").select("ts", "event_type"), workspace.new_path(spark, "topic")
+    writers.write_in_time_order(events.select(c("ts").cast("timestamp").alias("kafka_timestamp"), "event_type"), topic, "kafka_timestamp")
+    rows = spark.readStream.schema("kafka_timestamp timestamp, event_type string").options(**_BOUNDED).parquet(topic)
     out = workspace.new_path(spark, "stream-events")
     query = jobs.updates_to_parquet(
         jobs.tumbling_counts(rows, ("event_type",)), out, workspace.new_path(spark, "ckpt")
@@ -398,7 +420,7 @@ def queries() -> dict[str, Query]:
         fill_constant, impute_median, dedup_by_key, dedup_removed, dedup_full_row, except_rejected,
         anti_join_orphans, distinct_values, union_all_mapping, sample_limit, order_by_group, union_all_mart_counts,
         global_checks, dq_uniqueness, dq_nulls_raw, dq_referential, dq_report, star_fact_personal_finance,
-        star_fact_upi_transaction, scd1_upsert_person, stream_passthrough, stream_tumbling_count,
+        star_fact_upi_transaction, scd1_upsert_person, stream_passthrough, stream_tumbling_count, stream_late_drop,
         stream_event_counts, stream_land_raw,
     )}
     elt_features = [

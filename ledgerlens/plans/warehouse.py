@@ -163,9 +163,15 @@ def v_spending_by_age(w: Warehouse) -> DataFrame:
     )
 
 
-def _date_cells(w: Warehouse, by: tuple[str, ...]) -> DataFrame:
-    """Per date attributes: pair rows, amount over pairs and potential over pairs."""
-    cells = w.fact.by_payment(
+def _date_cells(w: Warehouse, by: tuple[str, ...], year: int | None = None) -> DataFrame:
+    """Per date attributes: pair rows, amount over pairs and potential over pairs.
+
+    A ``year`` is looked for in the partitions of the payment half before anything is grouped.
+    """
+    fact = w.fact
+    if year is not None:
+        fact = PairRelation(fact.payments.where(c("transaction_year") == year), fact.persons, key=fact.key)
+    cells = fact.by_payment(
         ("date_id",), [F.sum("amount").alias("_sum")], [F.sum("four_potentials").alias("_four")]
     ).join(w.dim_date, "date_id")
     return cells.groupBy(*by).agg(
@@ -175,8 +181,8 @@ def _date_cells(w: Warehouse, by: tuple[str, ...]) -> DataFrame:
     )
 
 
-def v_monthly_spending_trends(w: Warehouse) -> DataFrame:
-    return _date_cells(w, ("year", "month", "month_name")).select(
+def v_monthly_spending_trends(w: Warehouse, year: int | None = None) -> DataFrame:
+    return _date_cells(w, ("year", "month", "month_name"), year).select(
         "year", "month", "month_name", "transaction_count", "total_spending",
         (c("total_spending") / c("transaction_count").cast("double")).alias("avg_transaction_amount"),
         "total_potential_savings",
@@ -233,7 +239,7 @@ def top_savings_topk(w: Warehouse, above: float = 10, k: int = 10) -> DataFrame:
 
 
 def monthly_trends_year(w: Warehouse, year: int) -> DataFrame:
-    return v_monthly_spending_trends(w).where(c("year") == year).orderBy("month")
+    return v_monthly_spending_trends(w, year).where(c("year") == year).orderBy("month")
 
 
 def fact_spending_pattern(w: Warehouse) -> DataFrame:

@@ -160,6 +160,7 @@ def _cleaning() -> dict[str, str]:
             f"SELECT {pick(RAW_PAYMENT, ['amount_inr'])} FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY amount_inr NULLS FIRST) AS rn FROM payments_raw) WHERE rn = 1", "payments_raw"),
         "dedup_removed": build(
             "SELECT count(*) AS input_rows, count(DISTINCT transaction_id) AS kept_rows, count(*) - count(DISTINCT transaction_id) AS removed_rows FROM payments_raw", "payments_raw"),
+        "sample_limit": build(f"SELECT * FROM (SELECT DISTINCT {pick(FINANCE, NUMERIC, digits=4)} FROM finance_raw) ORDER BY id LIMIT 5", "finance_raw"),
         "dedup_full_row": build(f"SELECT DISTINCT {pick(FINANCE, NUMERIC, digits=4)} FROM finance_raw", "finance_raw"),
         "finance_clean_elt": build(
             f"SELECT person_id, {pick(['income', 'age', 'dependents', 'occupation', 'city_tier', *NUMERIC[1:], *FINANCE_FEATURES], [*NUMERIC, *ELT_FEATURE_DOUBLES, *ELT_FEATURE_MONEY])} FROM finance_elt", "finance_elt"),
@@ -466,7 +467,7 @@ def _star() -> dict[str, str]:
 def _streams() -> dict[str, str]:
     slot = "time_bucket(INTERVAL 5 MINUTE, CAST(\"timestamp\" AS TIMESTAMP))"
     known = "FROM payments_raw WHERE \"timestamp\" IS NOT NULL"
-    return {
+    counted = {
         "stream_passthrough": build("SELECT id, CAST(income AS DOUBLE) AS income, age, occupation, '2024-01-01 00:00:00' AS kafka_timestamp FROM finance_raw", "finance_raw"),
         "stream_tumbling_count": build(
             f"SELECT CAST({slot} AS VARCHAR) AS window_start, CAST({slot} + INTERVAL 5 MINUTE AS VARCHAR) AS window_end, transaction_status, sender_age_group, "
@@ -476,6 +477,7 @@ def _streams() -> dict[str, str]:
             f"SELECT transaction_id, CAST(amount_inr AS DOUBLE) AS amount_inr, CAST(substr(\"timestamp\", 1, 4) AS INT) AS year, "
             f"CAST(substr(\"timestamp\", 6, 2) AS INT) AS month, upper(trim(transaction_status)) AS status {known}", "payments_raw"),
     }
+    return counted | {"stream_late_drop": counted["stream_tumbling_count"]}  # late records count for nothing
 
 
 def statements() -> dict[str, str]:
