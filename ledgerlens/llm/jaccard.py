@@ -67,9 +67,9 @@ def set_key(hashes: np.ndarray) -> int | None:
     """The class of a set: one number, the same for equal sets; None for the empty set."""
     if not len(hashes):
         return None
-    total = np.add.reduce(mix(hashes)) + _U(len(hashes))
-    folded = np.bitwise_xor.reduce(mix(hashes + _U(7)))
-    return int(mix(np.array([total + mix(np.array([folded]))[0]], dtype=_U)).view(np.int64)[0])
+    total = np.add.reduce(mix(hashes), keepdims=True) + np.array([len(hashes)], dtype=_U)
+    folded = np.bitwise_xor.reduce(mix(hashes + _U(7)), keepdims=True)
+    return int(mix(total + mix(folded)).view(np.int64)[0])
 
 
 def group_signatures(hashes: np.ndarray, sizes: Sizes) -> np.ndarray:

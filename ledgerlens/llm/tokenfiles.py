@@ -31,14 +31,15 @@ from ledgerlens.llm.common import SLICE_ROWS, new_path
 
 #: Letters whose lower case is one letter, wherever they stand and however they are composed.
 _EARLY = re.compile("[\x00-\u012f\u0131-\u024f]*")
-_STOPS = frozenset(".,;:!?")
+#: A stop or comma beside another sign: the tokenizer takes signs that touch as one word.
+_IN_RUN = re.compile(r"[.,](?:(?=[^\w\s]|[_\x1c-\x1f])|(?<=[^\w\s][.,])|(?<=[_\x1c-\x1f][.,]))")
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
 BLOCK = 512
 #: Ids in a segment after which the next document starts another one.
 SEGMENT_IDS = 1 << 17
 #: Words that a worker remembers; it starts anew beyond them.
-REMEMBERED = 500_000
+REMEMBERED = 600_000
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -118,41 +119,33 @@ class Words(dict):
         self.apart = "Lowercase" in normalizer and "NFC" in normalizer and "Replace" in normalizer
 
     def learn(self, words: list[str]) -> None:
-        """Adds words. Letters and what follows them are always parted, and case does not count, so stems are shared."""
-        parts = {w: self._parts(w) for w in words}
-        stems = sorted({p for ps in parts.values() for p in ps if p not in self})
-        plain = [s for s in stems if s.isalpha() and _EARLY.fullmatch(s)]
-        for at in range(0, len(plain), 500):
-            some = plain[at:at + 500]  # coded as one text; each word ends with a piece marked so
+        plain = [w for w in words if w.isalpha() and _EARLY.fullmatch(w)]
+        for at in range(0, len(plain), 2000):
+            some = plain[at:at + 2000]  # coded as one text; each word ends with a piece marked so
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
             if len(ends) == len(some):
                 raw, start = ids.tobytes(), 0
-                for stem, end in zip(some, ends.tolist()):
-                    self[stem], start = raw[start:end], end
-        others = [s for s in stems if s not in self]
+                for word, end in zip(some, ends.tolist()):
+                    self[word], start = raw[start:end], end
+        others = [w for w in words if w not in self]
         for at in range(0, len(others), 4096):
             some = others[at:at + 4096]
-            for stem, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[stem] = array("I", coded.ids).tobytes()
-        for word, ps in parts.items():
-            if len(ps) > 1 or ps[0] != word:
-                self[word] = b"".join([self[p] for p in ps])
+            for word, coded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self[word] = array("I", coded.ids).tobytes()
 
     @staticmethod
-    def _parts(word: str) -> list[str]:
-        if not _EARLY.fullmatch(word):
-            return [word]
-        low = word.lower()
-        if low[-1:] in _STOPS and low[:-1].isalpha():
-            return [low[:-1], low[-1]]
-        return [low]
+    def _words(text: str) -> list[str]:
+        """Words whose ids can be put side by side: parted at spaces and line feeds, and at stops and commas that stand alone."""
+        if _EARLY.fullmatch(text) and not _IN_RUN.search(text):
+            text = text.lower().replace(".", " . ").replace(",", " , ")
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts, as the library gives them, as unsigned 32-bit integers."""
         if not self.apart:
             return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        split = [self._words(t or "") for t in texts]
         if len(self) >= REMEMBERED:
             self.clear()
         new = [w for w in set().union(*split) if w not in self]
