@@ -4,7 +4,7 @@
 can be a third of the table. Here rows are first counted per distinct value (a
 partial aggregate, so repeats never travel), then two short running sums find
 the rank: one over value buckets, one over the distinct values of the single
-bucket that holds it. The number of buckets follows the money range, not the rows.
+bucket that holds it. Buckets follow the size of the values, see ``value_bucket``.
 """
 
 from collections.abc import Callable, Sequence
@@ -12,10 +12,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .buckets import value_bucket
 from .onerow import beside
 
 _RANK = "decimal(38,0)"
-BUCKET_WIDTH = 100.0
 
 
 def _first_rank(p: float, rows: Column) -> Column:
@@ -27,7 +27,7 @@ def _value_counts(df: DataFrame, value: str, by: Sequence[str], weight: str | No
     count = F.sum(F.col(weight).cast(_RANK)) if weight else F.count(F.lit(1))
     return (
         df.groupBy(*by, F.col(value).alias("_v")).agg(count.cast(_RANK).alias("_n"))
-        .withColumn("_b", F.floor(F.col("_v").cast("double") / F.lit(BUCKET_WIDTH)))
+        .withColumn("_b", value_bucket(F.col("_v")))
     )
 
 
@@ -63,7 +63,7 @@ def _pick(
         .where((F.col("_t.rank") > start) & (F.col("_t.rank") <= F.col("_end")))
         .select(*by, "_b", F.col("_t.tag").alias("tag"), (F.col("_t.rank") - start).alias("_left"))
     )
-    # one bucket per (group, rank): a hot value is one row already, so the bucket is small
+    # one bucket per (group, rank): a hot value is one row already, and a bucket is narrow
     inside = (
         Window.partitionBy(*by, "tag", "_left", "_b").orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, 0)

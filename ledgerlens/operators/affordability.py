@@ -3,17 +3,16 @@
 ``amount <= disposable * 0.1`` compares a payment with a person, so it does not
 split into factors, but it is a rank: the number of persons whose tenth of
 disposable income is at least the amount. Both sides are reduced to distinct
-values first, so a hot value is one row. A running count over coarse value
+values first, so a hot value is one row. A running count over value
 buckets, then one inside each bucket, gives every amount its rank.
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.buckets import value_bucket
 from .pairs import PairRelation
 
-BUCKET_WIDTH = 10.0
-
 
 def affordable_persons(pairs: PairRelation) -> DataFrame:
     """Rows (key, amount, affordable_persons) for every distinct payment amount per category.
@@ -31,7 +30,7 @@ def affordable_persons(pairs: PairRelation) -> DataFrame:
         pairs.payments.select(key, F.col("amount").alias("_v")).distinct()
         .select(key, "_v", F.lit(0).cast("bigint").alias("_n"), F.col("_v").alias("amount"))
     )
-    both = offers.unionByName(asks).withColumn("_b", F.floor(F.col("_v") / F.lit(BUCKET_WIDTH)))
+    both = offers.unionByName(asks).withColumn("_b", value_bucket(F.col("_v")))
     # persons in the buckets above: as many rows as there are value buckets
     above = Window.partitionBy(key).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     buckets = both.groupBy(key, "_b").agg(F.sum("_n").alias("_m"))
