@@ -88,7 +88,11 @@ def run_etl(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame
 
 
 def load_warehouse(spark: SparkSession, pairs: PairRelation, database: str, as_of: Column) -> warehouse.Warehouse:
-    """Full refresh of the dimensions, partition-wise refresh of the fact, views registered."""
+    """Dimensions and persons merged by key, partition-wise refresh of the payments, views registered.
+
+    Keys depend on natural keys alone, so facts of earlier loads keep their dimensions. A
+    person that comes again replaces the row from before.
+    """
     writers.create_database(spark, database, "Star schema of spending patterns")
 
     def load(df: DataFrame, name: str, partition_by=()) -> DataFrame:
@@ -98,7 +102,7 @@ def load_warehouse(spark: SparkSession, pairs: PairRelation, database: str, as_o
         if partition_by:
             writers.refresh_partitions(df, full)
         else:
-            writers.insert_overwrite(df, full)
+            writers.merge_by_key(df, full, warehouse.TABLE_KEYS[name])
         return spark.table(full)
 
     built = warehouse.build(pairs, load)

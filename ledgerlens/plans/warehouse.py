@@ -129,6 +129,11 @@ def person_half(pairs: PairRelation, age: DataFrame) -> DataFrame:
 
 FACT_HALVES = ("fact_payments", "fact_persons")
 TABLES = (*DIMENSIONS, *FACT_HALVES)
+#: Keys by which a load merges the tables it does not refresh by partition.
+TABLE_KEYS = {
+    "dim_age_category": "age_category_id", "dim_occupation": "occupation_id", "dim_merchant_category": "merchant_category_id",
+    "dim_location": "location_id", "dim_date": "date_id", "fact_persons": "finance_id",
+}
 
 
 def build(pairs: PairRelation, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> Warehouse:

@@ -5,6 +5,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .workspace import new_path
+
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
@@ -67,6 +69,18 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
     df.select(*columns).write.mode("overwrite").insertInto(name)
 
 
+def merge_by_key(df: DataFrame, name: str, key: str) -> None:
+    """Rows of ``df`` replace those of the table with their key; the other rows stay.
+
+    The merged table is staged first, because a table cannot be overwritten while it is read.
+    """
+    spark, staged = df.sparkSession, new_path(df.sparkSession, "merged")
+    new = df.select(*spark.table(name).columns)
+    kept = spark.table(name).join(new.select(key).distinct(), key, "left_anti").select(*new.columns)
+    kept.unionByName(new).write.parquet(staged)
+    insert_overwrite(spark.read.parquet(staged), name)
+
+
 def refresh_partitions(df: DataFrame, name: str) -> None:
     """Replace just the partitions present in ``df``: re-running a load adds nothing twice.
 

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import rules
+from ledgerlens.functions import keys, rules
 from ledgerlens.plans import pipeline
 from ledgerlens.sources import readers, testdata, workspace, writers
 
@@ -109,3 +109,27 @@ def test_etl_run_twice_gives_one_load(spark, tmp_path):
     assert report.total_checks == report.passed_checks + report.failed_checks
     assert spark.read.json(str(tmp_path / "run1" / "quality" / "report")).count() == 1
     assert spark.table("v_spending_by_age").count() > 0
+
+
+def test_a_second_load_keeps_the_names_of_the_first(spark, tmp_path):
+    people, sends = (testdata.as_text(f(spark, SMALL)) for f in (testdata.finance_raw, testdata.payments_raw))
+    year = F.substring("timestamp", 1, 4)
+    first = sends.where((year == "1995") & ~F.col("merchant_category").isin("Fuel", "Insurance"))
+    second = sends.where(year == "1996").withColumn("merchant_category", F.when(F.col("merchant_category") == "Food", "Aquarium").otherwise(F.col("merchant_category")))
+
+    def names():
+        facts, dims = spark.table("two_loads.fact_payments"), spark.table("two_loads.dim_merchant_category")
+        facts = facts.where("transaction_year = 1995")
+        return {r[0]: r[1] for r in facts.join(dims, "merchant_category_id", "left").groupBy("category_name").count().collect()}
+
+    seen = []
+    for i, part in enumerate((first, second)):
+        pairs = pipeline.stage_etl(people, part, str(tmp_path / f"load{i}"), as_of(), rejected=False)
+        pipeline.load_warehouse(spark, pairs, "two_loads", as_of())
+        seen.append(names())
+    assert seen[0] == seen[1] and None not in seen[1]
+    facts = spark.table("two_loads.fact_payments")
+    for dim, key in (("dim_merchant_category", "merchant_category_id"), ("dim_date", "date_id"), ("dim_age_category", "age_category_id")):
+        assert facts.join(spark.table(f"two_loads.{dim}"), key, "left_anti").isEmpty()
+        assert keys.id_collisions(spark.table(f"two_loads.{dim}"), key).isEmpty()
+    assert spark.table("two_loads.fact_persons").count() == spark.table("two_loads.fact_persons").select("finance_id").distinct().count()
