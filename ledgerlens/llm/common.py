@@ -15,15 +15,38 @@ from ledgerlens.sources.workspace import new_path
 SLICE_ROWS = 256
 
 
+#: Where the staged tables of this driver lie.
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends there, and a lost executor loses nothing."""
+    """``df`` written once to the shared folder and read back: lineage ends there, and a lost executor loses nothing.
+
+    Nobody needs the shuffle files of the job after that, so Spark is told to remove them with it.
+    """
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[id(out)] = (out, path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes staged tables that nothing will read again: all that was made from them has been staged itself."""
+    for df in tables:
+        _, path = _PATHS.pop(id(df))
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def text_bytes(text: str | None) -> bytes:

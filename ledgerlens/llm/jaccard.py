@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import staged, with_arrow_columns
+from ledgerlens.llm.common import discard, staged, with_arrow_columns
 from ledgerlens.llm.components import connected
 from ledgerlens.llm.hashing import mix, shingle_set
 
@@ -248,9 +248,12 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carr
     offered = sketched.select("key", F.explode("sigs").alias("sig"))
     shared = offered.withColumns({"lo": F.min("key").over(by_sig), "hi": F.max("key").over(by_sig)}).where(F.col("lo") != F.col("hi"))
     shared = staged(shared.select("sig", "key").distinct(), "shared")
+    wide, sketched = sketched, staged(sketched.drop("sigs"), "keys")
+    discard(wide)
     # buckets with the same members say the same: one of them is kept
     same = shared.groupBy("sig").agg(F.bit_xor(F.xxhash64("key")).alias("x"), F.count(F.lit(1)).alias("n")).groupBy("x", "n").agg(F.min("sig").alias("sig"))
     members = staged(shared.join(same.select("sig"), "sig"), "members")
+    discard(shared)
 
     named = sketched.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     wanted = named.join(members.select("key").distinct(), "key").withColumnRenamed("doc_id", "of")
@@ -279,6 +282,7 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carr
             break
         links = found if links is None else links.unionByName(found)
         components = connected(links)
+    discard(members, sets)
     linked = named.withColumn("component", F.col("key"))
     if components is not None:
         linked = named.join(components.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
