@@ -100,15 +100,6 @@ def impute_median(df: DataFrame, columns: Sequence[str], method: str = "exact")
     return beside(df, statistics).withColumns(imputed(columns)).select(*df.columns)
 
 
-def minmax_data(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add ``<c>_normalized`` with bounds from the data."""
-    bounds = df.agg(*[
-        f(c).cast("double").alias(f"{k}_{c}") for c in columns for k, f in (("low", F.min), ("high", F.max))
-    ])
-    scaled = [minmax(c).alias(f"{c}_normalized") for c in columns]
-    return beside(df, scaling_ranges(bounds, columns)).select(*df.columns, *scaled)
-
-
 def with_quality_flags(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The constant quality columns every cleaned row carries."""
     return df.withColumns({
