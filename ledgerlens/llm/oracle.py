@@ -26,4 +26,36 @@ ORACLE = {
             ORDER BY length(r.host || r.path) DESC LIMIT 1
         ) best ON true
     """,
+    "op6_jaccard_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT n, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)] END) AS s FROM words
+        ), classes AS (SELECT s, min(doc_id) AS id, row_number() OVER () AS c FROM sets WHERE len(s) > 0 GROUP BY s
+        ), grams AS (SELECT c, len(s) AS size, unnest(s) AS g FROM classes
+        ), links AS (
+            SELECT a.c AS x, b.c AS y FROM grams a JOIN grams b ON a.g = b.g AND a.c <> b.c AND 100 * least(a.size, b.size) >= 90 * greatest(a.size, b.size)
+            GROUP BY a.c, b.c, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))
+        ), reach(x, y) AS (SELECT c, c FROM classes UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+        ), named AS (SELECT r.x AS c, min(k.id) AS component_id FROM reach r JOIN classes k ON r.y = k.c GROUP BY r.x)
+        SELECT t.doc_id, CAST(len(t.s) AS BIGINT) AS n_shingles, CASE WHEN len(t.s) = 0 THEN t.doc_id ELSE named.component_id END AS component_id
+        FROM sets t LEFT JOIN classes k ON t.s = k.s LEFT JOIN named USING (c)
+    """,
+    "op9_chat": r"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)
+        ), marked AS (
+            SELECT *, length(regexp_replace(text, '([\[<])(\\*)(/?INST\]|/?s>|/?ROLE\]|SAYS\])', '\1\\\2\3', 'g')) AS n,
+                   length(regexp_replace(role, '([\[<])(\\*)(/?INST\]|/?s>|/?ROLE\]|SAYS\])', '\1\\\2\3', 'g')) AS m FROM rows
+        ), joined AS (
+            SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '') AS loss,
+                   sum(CASE role WHEN 'user' THEN 15 + n WHEN 'assistant' THEN 5 + n ELSE 23 + m + n END) AS chars FROM marked GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM joined
+    """,
 }
