@@ -194,3 +194,34 @@ def test_line_dedup_runs_no_python(spark):
     docs = spark.createDataFrame([(1, " ".join(prose(1, 9)))], DOC)
     plan = lines.dedup(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def linked_by_edits_alone(spark, texts):
+    """The groups that ``line_groups`` finds, and those of all pairs by edit similarity alone."""
+    distinct = sorted(set(texts))
+    pairs = [(i, j) for i in range(len(distinct)) for j in range(i) if abs(len(distinct[i]) - len(distinct[j])) <= len(distinct[i]) // 9 + 1
+             and edits(distinct[i], distinct[j]) <= int(max(len(distinct[i]), len(distinct[j])) * 0.1 + 1e-9)]
+    want = {}
+    for text, root in zip(distinct, roots(len(distinct), pairs)):
+        want.setdefault(root, set()).add(text)
+    table = spark.createDataFrame([(t,) for t in distinct], "norm string").select(F.unhex(F.md5("norm")).alias("line"), "norm")
+    found = {}
+    for row in lines.line_groups(table).join(table, "line").collect():
+        found.setdefault(bytes(row.group), set()).add(row.norm)
+    return sorted(map(sorted, found.values())), sorted(sorted(g) for g in want.values() if len(g) > 1)
+
+
+def test_line_groups_equal_all_pairs_by_edit_similarity_alone(spark):
+    r, texts = random.Random(3), []
+    for words in (5, 7, 9, 12, 15, 20, 25, 30, 40, 50, 60):
+        for copy in range(5):
+            base = prose(1000 * words + copy, words)
+            texts.append(" ".join(base))
+            changed, at = list(base), r.randrange(words)
+            changed[at] += "s"  # one letter more
+            texts.append(" ".join(changed))
+            for _ in range(max(1, words // 12)):  # words replaced
+                changed[r.randrange(words)] = "".join(r.choice("aeiourstn") for _ in range(r.randint(2, 6)))
+            texts.append(" ".join(changed))
+    got, want = linked_by_edits_alone(spark, texts)
+    assert len(want) > 50 and got == want
