@@ -225,3 +225,10 @@ def test_line_groups_equal_all_pairs_by_edit_similarity_alone(spark):
             texts.append(" ".join(changed))
     got, want = linked_by_edits_alone(spark, texts)
     assert len(want) > 50 and got == want
+
+
+def test_a_document_stays_while_a_line_of_its_own_is_left(spark):
+    line = " ".join(prose(1, 9))
+    rows = [(1, line), (2, line + "\nmy own verse"), (3, line + "\n \u00a0\n"), (4, "***\n" + line), (5, line)]
+    got = sorted(map(tuple, lines.dedup(spark.createDataFrame(rows, DOC)).collect()))
+    assert got == [(1, line), (2, "my own verse"), (4, "***")]
