@@ -232,3 +232,10 @@ def test_a_document_stays_while_a_line_of_its_own_is_left(spark):
     rows = [(1, line), (2, line + "\nmy own verse"), (3, line + "\n \u00a0\n"), (4, "***\n" + line), (5, line)]
     got = sorted(map(tuple, lines.dedup(spark.createDataFrame(rows, DOC)).collect()))
     assert got == [(1, line), (2, "my own verse"), (4, "***")]
+
+
+def test_short_lines_and_lines_without_spaces_take_part(spark):
+    han = "".join(chr(0x4E00 + 37 * i) for i in range(40))
+    rows = [(1, "read more\nown line one"), (2, "Read more!\nown line two"), (3, han), (4, han + "\nlast"), (5, han[:20] + "x" + han[21:] + "\nend"), (6, "...\n...")]
+    got = sorted(map(tuple, lines.dedup(spark.createDataFrame(rows, DOC)).collect()))
+    assert got == [(1, rows[0][1]), (2, "own line two"), (3, han), (4, "last"), (5, "end"), (6, "...\n...")]
