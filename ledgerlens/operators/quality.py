@@ -65,7 +65,11 @@ def check_nulls(df: DataFrame, columns: Sequence[str] | None = None, weight: str
     counts = df.agg(
         _rows(weight).alias("_rows"), *[_rows(weight, c(n).isNull()).alias(f"_{i}") for i, n in enumerate(names)]
     )
-    items = {n: c(f"_{i}") for i, n in enumerate(names)}
+    return null_rows(counts, {n: c(f"_{i}") for i, n in enumerate(names)})
+
+
+def null_rows(counts: DataFrame, items: Mapping[str, Column]) -> DataFrame:
+    """Check rows from one row with the NULLs per column and ``_rows``, the rows in all."""
     return _unpivot(counts, items).select(
         "column", c("found").alias("null_count"), _share(c("found"), c("_rows")).alias("null_percentage"),
         (c("found") == 0).alias("passed"),

@@ -32,6 +32,10 @@ PAYMENT_COLUMNS = (
     "is_weekend", "amount_category", "time_of_day", "transaction_month", "amount_normalized",
 )
 
+#: What the joined table has besides: labels of the person, features of the payment alone. The five others need both.
+PERSON_LABELS = ("finance_id", "occupation", "city_tier")
+PAYMENT_FEATURES = ("weekend_spending_impact", "age_transaction_pattern", "digital_adoption_score")
+
 
 def joined(clean_payments: DataFrame, clean_finance: DataFrame) -> PairRelation:
     """Both sides cut to their join columns, with the one-sided features and terms added."""
