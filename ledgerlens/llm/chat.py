@@ -7,9 +7,10 @@ the turn is reported and what it rewrote carries no loss. Where the text lies in
 added stretch is found by rendering the turn with two probe texts: what both outputs
 begin and end with are the marks of the template.
 
-Rows are range-partitioned by conversation and turn, so a conversation of any length is
-spread over tasks; each task also gets the last turns before its first row as context.
-Conversations come out in pieces of at most ``PIECE_TURNS`` turns; nearly all have one.
+A template may depend on any turn before, so a conversation is rendered whole, by one task.
+Only for a template that names the turns it looks back (``context_turns``) are rows
+range-partitioned by conversation and turn: a conversation of any length is then spread over
+tasks, and each task also gets the last turns before its first row as context. Conversations come out in pieces of at most ``PIECE_TURNS`` turns; nearly all have one.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from os.path import commonprefix
 
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.llm.common import staged
 
-#: Turns of a piece, and turns before a piece that the template is shown with it.
+#: Turns of a piece, and turns before a piece that a template is shown with it if it says it looks back no further.
 PIECE_TURNS, CONTEXT_TURNS = 64, 8
 Turn = tuple[str, str]
 
@@ -38,6 +40,8 @@ class InstTemplate:
     backslash; taking one away restores the text. Other characters stay as they are.
     """
 
+    #: What a turn adds depends on that turn alone, so this context is enough.
+    context_turns = CONTEXT_TURNS
     _CONTROL = r"(?=/?INST\]|/?s>|/?ROLE\]|SAYS\])"
     _PLAIN, _ESCAPED = re.compile(r"([\[<])(\\*)" + _CONTROL), re.compile(r"([\[<])\\(\\*)" + _CONTROL)
 
@@ -108,30 +112,44 @@ def render_piece(render: Callable[[list[Turn]], str], context: list[Turn], turns
     """The formatted text of a piece, a span for each turn, and the turns at which history was rewritten.
 
     Offsets count code points from the start of the piece. ``loss_start`` and ``loss_end``
-    are -1 where a turn has no loss.
+    are -1 where a turn has no loss. A piece that rewrites its context begins where the two part.
     """
     base = render(context) if context else ""
-    outputs, spans, rewritten = base, [], []
+    outputs, spans, rewritten, cut = base, [], [], len(base)
     for i, (role, _) in enumerate(turns):
         now = render(context + turns[:i + 1])
         start = len(outputs)
         if not now.startswith(outputs):
             start = len(commonprefix([outputs, now]))
             rewritten.append(i)
+            cut = min(cut, start)
             for s in spans:
-                s["end"] = max(min(s["end"], start - len(base)), 0)
+                s["start"], s["end"] = min(s["start"], start), min(s["end"], start)
                 if s["loss_end"] > s["end"]:
                     s["loss_start"] = s["loss_end"] = -1
         inside = None
         if role == loss_role and (not rewritten or rewritten[-1] != i):
             inside = _content(render, context + turns[:i], role, now[start:], known)
-        at = max(start - len(base), 0)
         spans.append({
-            "role": role, "start": at, "end": max(len(now) - len(base), 0),
-            "loss_start": at + inside[0] if inside else -1, "loss_end": at + inside[1] if inside else -1,
+            "role": role, "start": start, "end": len(now),
+            "loss_start": start + inside[0] if inside else -1, "loss_end": start + inside[1] if inside else -1,
         })
         outputs = now
-    return outputs[len(base):], spans, rewritten
+    return outputs[cut:], [_moved(s, cut) for s in spans], rewritten
+
+
+def _moved(span: Span, by: int) -> Span:
+    """The span with its offsets counted from ``by``."""
+    return {k: v - by if k != "role" and not (k.startswith("loss") and v < 0) else v for k, v in span.items()}
+
+
+def cut_pieces(formatted: str, spans: list[Span], rewritten: list[int]) -> Iterator[tuple[int, str, list[Span], list[int]]]:
+    """A whole conversation as pieces: the first turn of each, its text, spans and rewriting turns, counted from its start."""
+    for at in range(0, len(spans), PIECE_TURNS):
+        begin = spans[at]["start"] if at else 0
+        end = spans[at + PIECE_TURNS]["start"] if at + PIECE_TURNS < len(spans) else len(formatted)
+        yield (at, formatted[begin:end], [_moved(s, begin) for s in spans[at:at + PIECE_TURNS]],
+               [i - at for i in rewritten if at <= i < at + PIECE_TURNS])
 
 
 _SPAN = T.StructType([
@@ -144,20 +162,48 @@ PIECE = T.StructType([
 ])
 
 
+def _arrow() -> pa.Schema:
+    fields = [("role", pa.string()), *((n, pa.int32()) for n in ("start", "end", "loss_start", "loss_end"))]
+    return pa.schema([
+        ("conv_id", pa.int64()), ("piece", pa.int64()), ("formatted", pa.string()),
+        ("spans", pa.list_(pa.struct(fields))), ("rewritten", pa.list_(pa.int32()))])
+
+
+def _whole(render: Callable[[list[Turn]], str], loss_role: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Renders conversations that lie whole and in order in a task, one at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(b.column(n).to_pylist() for n in ("conv_id", "place", "role", "text"))))
+        for conv, of_conv in groupby(rows, key=lambda row: row[0]):
+            places, turns = [], []
+            for _, place, role, text in of_conv:
+                places.append(place)
+                turns.append((role, text))
+            for at, formatted, spans, rewritten in cut_pieces(*render_piece(render, [], turns, loss_role, {})):
+                yield pa.RecordBatch.from_pylist([{
+                    "conv_id": conv, "piece": places[at], "formatted": formatted, "spans": spans, "rewritten": rewritten}], schema=_arrow())
+
+    return run
+
+
 def format_conversations(rows: DataFrame, render: Callable[[list[Turn]], str], loss_role: str = "assistant") -> DataFrame:
     """Pieces of formatted conversations, ordered by ``piece`` within ``conv_id``.
 
     Turns are ordered by ``turn`` (nulls first), then role and text, so equal turns have a
     fixed order and repeated rows stay. Null roles and texts are empty; rows without
     ``conv_id`` form one conversation. Other columns are not carried. An empty table gives
-    no pieces. Templates may depend on all turns of a conversation up to ``PIECE_TURNS``
-    turns, and beyond that on the ``CONTEXT_TURNS`` turns before a piece.
+    no pieces. Templates may depend on all turns before: one task holds one conversation and
+    renders it from its first turn. A template with an attribute ``context_turns`` promises
+    that a turn adds the same text whatever came before so many turns (``CONTEXT_TURNS`` at
+    most); its long conversations are spread over tasks.
     """
+    whole = not 0 <= getattr(render, "context_turns", -1) <= CONTEXT_TURNS
     clean = rows.select(
         F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     order = ["conv_id", "turn", "role", "text"]
     ordered = staged(clean.repartitionByRange(*order).sortWithinPartitions(*order).select(
         F.monotonically_increasing_id().alias("place"), "conv_id", "role", "text"), "turns")
+    if whole:
+        return ordered.repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(_whole(render, loss_role), PIECE)
     ordered = ordered.withColumn("part", F.shiftright("place", 33).cast("int"))
     last = ordered.groupBy("part").agg(F.max("place").alias("last"))
     parts = (last.agg(F.max("part")).first()[0] or 0) + 2
@@ -175,12 +221,8 @@ def format_conversations(rows: DataFrame, render: Callable[[list[Turn]], str], l
         def close() -> pa.RecordBatch:
             formatted, spans, rewritten = render_piece(render, before, turns, loss_role, known)
             return pa.RecordBatch.from_pylist([{
-                "conv_id": now, "piece": first, "formatted": formatted, "spans": spans, "rewritten": rewritten}], schema=shape)
+                "conv_id": now, "piece": first, "formatted": formatted, "spans": spans, "rewritten": rewritten}], schema=_arrow())
 
-        fields = [("role", pa.string()), *((n, pa.int32()) for n in ("start", "end", "loss_start", "loss_end"))]
-        shape = pa.schema([
-            ("conv_id", pa.int64()), ("piece", pa.int64()), ("formatted", pa.string()),
-            ("spans", pa.list_(pa.struct(fields))), ("rewritten", pa.list_(pa.int32()))])
         begun = False
         for batch in batches:
             for place, conv, role, text, _, is_context in zip(*(batch.column(n).to_pylist() for n in ("place", "conv_id", "role", "text", "part", "context"))):

@@ -73,3 +73,34 @@ def long_conversation(spark):
     pieces = check(spark, rows).where("conv_id = 9").select("piece", F.size("spans").alias("n")).collect()
     assert len(pieces) >= 11 and max(p.n for p in pieces) <= chat.PIECE_TURNS
     assert len({p.piece >> 33 for p in pieces}) > 1
+
+
+def rewriting_template():
+    def last_thought_alone(turns):  # begins with the first text, drops the thoughts of all turns but the last
+        return f"{{{turns[0][1]}}}" + "".join(f"<{r}>{t if i == len(turns) - 1 else t.split('|')[-1]}</{r}>" for i, (r, t) in enumerate(turns))
+
+    return last_thought_alone  # not a global: tasks cannot import this file
+
+
+last_thought_alone = rewriting_template()
+
+
+def test_a_rewriting_template_sees_whole_conversations(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # borders inside the conversations
+    try:
+        rows = [(c, i, ("user", "assistant")[i % 2], f"thought {c}|text {i}") for c, n in ((1, 200), (2, 20), (3, 65)) for i in range(n)]
+        pieces = chat.format_conversations(spark.createDataFrame(rows, ROWS).repartition(5), rewriting_template()).orderBy("conv_id", "piece").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for c, n in ((1, 200), (2, 20), (3, 65)):
+        turns, mine = [(r, t) for k, _, r, t in rows if k == c], [p for p in pieces if p.conv_id == c]
+        assert "".join(p.formatted for p in mine) == last_thought_alone(turns)
+        assert [len(p.spans) for p in mine] == [min(64, n - at) for at in range(0, n, 64)]
+        assert [64 * k + i for k, p in enumerate(mine) for i in p.rewritten] == list(range(1, n))
+        assert all(0 <= s.start <= s.end <= len(p.formatted) for p in mine for s in p.spans)
+
+
+def test_a_shortened_context_loses_no_text():
+    turns = [("user", "long|q"), ("assistant", "a|b")]
+    out, spans, rewritten = chat.render_piece(last_thought_alone, turns[:1], turns[1:], "assistant", {})
+    assert rewritten == [0] and last_thought_alone(turns).endswith(out) and out.endswith("<assistant>a|b</assistant>") and spans[0]["end"] == len(out)
