@@ -1,5 +1,40 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds of the plain algorithm, one pair of tables each."""
+    nearest = """near{r} AS MATERIALIZED (
+            SELECT n, part, any_value(x) AS x, arg_min(entry, d) AS entry, min(d) AS d FROM (
+                SELECT r.n, r.part, r.x, b.entry, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(r.x, b.x)]) * 1024 + b.entry AS d
+                FROM parts r JOIN book{r} b USING (part)
+            ) GROUP BY n, part
+        )"""
+    moved = """book{s} AS MATERIALIZED (
+            SELECT part, b.entry, CASE WHEN count(m.x) = 0 THEN any_value(b.x) ELSE any_value(m.x) END AS x
+            FROM book{r} b LEFT JOIN (
+                SELECT part, entry, list(CAST(floor(s / c) AS BIGINT) ORDER BY i) AS x FROM (
+                    SELECT part, entry, i, CAST(sum(v) AS BIGINT) AS s, count(*) AS c
+                    FROM (SELECT part, entry, unnest(x) AS v, unnest(range(len(x))) AS i FROM near{r}) GROUP BY part, entry, i
+                ) GROUP BY part, entry
+            ) m USING (part, entry) GROUP BY part, b.entry
+        )"""
+    steps = [text for r in range(rounds) for text in (nearest.format(r=r), moved.format(r=r, s=r + 1))] + [nearest.format(r=rounds)]
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS n, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), parts AS MATERIALIZED (
+            SELECT n, p AS part, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) AS t(p)
+        ), book0 AS MATERIALIZED (SELECT part, n AS entry, x FROM parts WHERE n < {entries}
+        ), {", ".join(steps)}, coded AS (
+            SELECT n, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum((d - entry) // 1024) AS BIGINT) AS error FROM near{rounds} GROUP BY n
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM book{rounds}) AS codebooks_sha256
+        FROM coded JOIN kept USING (n)
+    """
+
+
 ORACLE = {
     "op3_top_k": """
         WITH v AS (
@@ -58,4 +93,29 @@ ORACLE = {
         )
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM joined
     """,
+    "op12_vector_codes": _codes_sql(),
+    "op13_lexical_search": r"""
+        WITH terms AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+            FROM documents WHERE text IS NOT NULL
+        ), sized AS (SELECT row, doc_id, t, CAST(len(t) AS BIGINT) AS n FROM terms WHERE len(t) > 0
+        ), total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized
+        ), postings AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM sized) GROUP BY row, term
+        ), wanted AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, total WHERE term IN (SELECT term FROM wanted) GROUP BY term
+        ), lengths AS (SELECT row, doc_id, 10 + (90 * n * docs) // words AS m FROM sized, total
+        ), scores AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM wanted JOIN weights USING (term) JOIN postings USING (term) JOIN lengths USING (row) GROUP BY item_id, row, doc_id
+        )
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0
+        ) WHERE rank <= 10
+    """,
 }

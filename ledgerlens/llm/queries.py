@@ -7,7 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, decontam, jaccard, lines, quality, sentencepieces, tokenfiles, topk, toxicity, urls
+from ledgerlens.llm import (
+    chat, decontam, jaccard, language, lexical, lines, quality, sentencepieces, tokenfiles, topk, toxicity, urls, vectorcodes,
+)
 from ledgerlens.llm.common import table
 
 #: Where the public vocabularies lie, the same on every machine.
@@ -82,6 +84,24 @@ def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
     return tokenfiles.digests(tokenfiles.round_trip(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
 
 
+def op11_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest language of every document; ``rejected`` marks texts far from all that was learnt."""
+    docs, fold = table(spark, d, "documents").select("doc_id", "text", "lang"), quality.held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~fold))
+    found = language.predict(docs.select("doc_id", "text"), model, keep=["doc_id"]).withColumn("held_out", fold)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op12_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    coded, books = vectorcodes.compress(table(spark, d, "embeddings"))
+    return vectorcodes.with_label_errors(coded).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return lexical.search(table(spark, d, "documents"), table(spark, d, "benchmark"), k=10)
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_top_k": op3_top_k,
@@ -93,4 +113,7 @@ QUERIES = {
     "op7_url_filter": op7_url_filter,
     "op9_chat": op9_chat,
     "op10_token_files": op10_token_files,
+    "op11_language_id": op11_language_id,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_lexical_search": op13_lexical_search,
 }
