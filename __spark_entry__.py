@@ -262,12 +262,8 @@ def dq_uniqueness(spark, d):
     return portable(before.unionByName(after))
 
 
-#: The columns of one side in the joined table; the features of both are checked with them.
-CHECKED_COLUMNS = (*etl.PAYMENT_COLUMNS, *etl.PAYMENT_FEATURES), (*etl.PERSON_LABELS, *etl.PERSON_COLUMNS)
-
-
 def _null_checks(pairs):
-    return quality_run.null_checks(pairs, *CHECKED_COLUMNS)
+    return quality_run.null_checks(pairs, *etl.CHECKED_COLUMNS)
 
 
 def dq_nulls_raw(spark, d):
@@ -292,7 +288,7 @@ def dq_referential(spark, d):
 
 
 def dq_report(spark, d):
-    rows = quality_run.all_check_rows(spark, _pairs_etl(spark, d), *CHECKED_COLUMNS)
+    rows = quality_run.all_check_rows(spark, _pairs_etl(spark, d), *etl.CHECKED_COLUMNS)
     return portable(quality.quality_report(rows))
 
 

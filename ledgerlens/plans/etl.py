@@ -35,6 +35,8 @@ PAYMENT_COLUMNS = (
 #: What the joined table has besides: labels of the person, features of the payment alone. The five others need both.
 PERSON_LABELS = ("finance_id", "occupation", "city_tier")
 PAYMENT_FEATURES = ("weekend_spending_impact", "age_transaction_pattern", "digital_adoption_score")
+#: The columns of one side in the joined table that the null checks cover; those of both sides are checked with them.
+CHECKED_COLUMNS = (*PAYMENT_COLUMNS, *PAYMENT_FEATURES), (*PERSON_LABELS, *PERSON_COLUMNS)
 
 
 def joined(clean_payments: DataFrame, clean_finance: DataFrame) -> PairRelation:

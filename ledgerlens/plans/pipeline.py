@@ -79,7 +79,7 @@ def run_etl(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame
     pairs = stage_etl(finance_raw, payments_raw, base, as_of)
     writers.overwrite_parquet(etl.agg_age_merchant(pairs), f"{base}/clean/aggregated")
     checks = _staged(
-        quality_run.all_check_rows(spark, pairs, etl.PAYMENT_COLUMNS, etl.PERSON_COLUMNS), f"{base}/quality/checks"
+        quality_run.all_check_rows(spark, pairs, *etl.CHECKED_COLUMNS), f"{base}/quality/checks"
     )
     report = quality_run.quality.quality_report(checks).withColumn("timestamp", as_of)
     writers.write_json_report(report, f"{base}/quality/report")

@@ -340,7 +340,10 @@ def _etl() -> dict[str, str]:
         {avg('f.amount', 'avg_transaction_amount')}, {total(FOUR, 'total_potential_savings')} FROM fact f JOIN dim_day d USING (date_id) GROUP BY 1, 2, 3"""
     null_check = lambda c: (
         f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS null_count, {rnd(f'(count(*) - count({c})) * 100.0::DOUBLE / count(*)', 2)} AS null_percentage, count(*) = count({c}) AS passed FROM ")
-    null_columns = [*ETL_PAYMENT, *ETL_PERSON]
+    null_columns = [
+        *ETL_PAYMENT, "weekend_spending_impact", "age_transaction_pattern", "digital_adoption_score", "finance_id", "occupation", "city_tier", *ETL_PERSON,
+        "spending_income_ratio", "high_savings_category", "financial_health_score", "is_affordable_transaction", "savings_opportunity_score",
+    ]
     range_check = lambda c, lo, hi: (
         f"SELECT '{c}' AS \"column\", {lo}::DOUBLE AS min_allowed, {hi}::DOUBLE AS max_allowed, {n(f'{c} < {lo} OR {c} > {hi}', 'out_of_range_count')}, "
         f"{rnd(f'count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) * 100.0::DOUBLE / count({c})', 2)} AS out_of_range_percentage, "
@@ -355,7 +358,7 @@ def _etl() -> dict[str, str]:
         f"{rnd(f'count(DISTINCT {c}) * 100.0::DOUBLE / count(*)', 2)} AS uniqueness_percentage, count(*) = count(DISTINCT {c}) AS passed, '{stage}' AS stage FROM {src}")
     passes = " UNION ALL ".join([
         "SELECT count(*) = count(DISTINCT transaction_id) AS passed FROM pairs_base",
-        *[f"SELECT count(*) = count({c}) FROM pairs_base" for c in null_columns],
+        *[f"SELECT count(*) = count({c}) FROM pairs_etl" for c in null_columns],
         *[f"SELECT count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) = 0 FROM pairs_base" for c, lo, hi in limits],
         "SELECT true FROM range(6)",  # three types and three distributions, which always pass
     ])
@@ -401,13 +404,13 @@ def _etl() -> dict[str, str]:
         "dq_uniqueness": build(" UNION ALL ".join((
             unique("transaction_id", "payments_etl", "payments"), unique("sender_state", "payments_etl", "payments"),
             unique("transaction_id", "pairs_base", "joined"))), "pairs_base"),
-        "dq_nulls": build(" UNION ALL ".join(null_check(c) + "pairs_base" for c in null_columns), "pairs_base"),
+        "dq_nulls": build(" UNION ALL ".join(null_check(c) + "pairs_etl" for c in null_columns), "pairs_etl"),
         "dq_nulls_raw": build(" UNION ALL ".join(null_check(c).replace("count(timestamp)", 'count("timestamp")') + "payments_raw" for c in RAW_PAYMENT), "payments_raw"),
         "dq_range": build(" UNION ALL ".join(range_check(*x) for x in limits), "pairs_base"),
         "dq_distribution": build(" UNION ALL ".join(dist(c) for c in ("amount", "income", "disposable_income")), "pairs_base"),
         "dq_report": build(
             f"SELECT count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_checks, count(*) FILTER (WHERE NOT passed) AS failed_checks, "
-            f"{rnd('count(*) FILTER (WHERE passed) * 100.0::DOUBLE / count(*)', 2)} AS quality_score FROM ({passes})", "pairs_base"),
+            f"{rnd('count(*) FILTER (WHERE passed) * 100.0::DOUBLE / count(*)', 2)} AS quality_score FROM ({passes})", "pairs_etl"),
         "dq_referential": fact(" UNION ALL ".join((
             orphan("merchant_category_id", "fact", "dim_merchant"), orphan("age_category_id", "fact", "dim_age"), orphan("date_id", "fact", "dim_day"),
             orphan("occupation_id", "fact", "dim_occ"),

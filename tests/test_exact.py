@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.keys import dense_id
+from ledgerlens.functions.keys import row_numbers
 from ledgerlens.functions.quantiles import exact_median, exact_quantiles, imputation_statistics
 from ledgerlens.operators.affordability import affordable_persons
 from ledgerlens.operators.pairs import PairRelation
@@ -51,11 +51,12 @@ def test_quartiles_of_filled_column_come_from_the_unfilled_one(spark, method):
     assert (got.low_p, got.high_p) == (min(v for v in columns["p"] if v is not None), max(v for v in columns["p"] if v is not None))
 
 
-def test_dense_ids_are_dense_and_repeatable(spark):
+def test_row_numbers_are_dense_and_repeatable(spark):
     df = spark.range(500).select(F.concat(F.lit("k"), F.col("id") % 250).alias("k"), F.col("id").alias("v"))
-    once = {(r.k, r.v): r.n for r in dense_id(df, "n", ("k",), ("v",)).collect()}
-    again = {(r.k, r.v): r.n for r in dense_id(df.repartition(7), "n", ("k",), ("v",)).collect()}
+    once = {(r.k, r.v): r.n for r in row_numbers(df, "n", ("k", "v")).collect()}
+    again = {(r.k, r.v): r.n for r in row_numbers(df.repartition(7), "n", ("k", "v")).collect()}
     assert sorted(once.values()) == list(range(1, 501)) and once == again
+    assert [k for k, _ in sorted(once.items(), key=lambda x: x[1])] == sorted(once)
 
 
 def test_affordable_counts_match_brute_force(spark):
