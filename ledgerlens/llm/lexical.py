@@ -30,7 +30,7 @@ from ledgerlens.llm.common import SLICE_ROWS, staged
 #: Normaliser: percent of it that follows the length, and factor of it beside 1000 * tf.
 SLOPE, PIVOT_WEIGHT = 90, 8
 #: Documents of a task's strata, and of one stratum that are scored at once.
-PART_DOCS, CHUNK_DOCS = 65_536, 4096
+PART_DOCS, CHUNK_DOCS = 8192, 4096
 #: Characters of queries that are searched for in one block.
 BLOCK_CHARS = 16 << 20
 _NO_ID = (1 << 63) - 1
@@ -175,7 +175,7 @@ FOUND = T.StructType([T.StructField("query", T.IntegerType()), T.StructField("do
 
 
 def _search_block(docs: DataFrame, rows: list[tuple], k: int) -> DataFrame:
-    """``item_id, doc_id, score``: the k best of every part of the index for the queries of one block."""
+    """``item_id, rank, doc_id, score``: the k best documents for the queries of one block."""
     spark, queries = docs.sparkSession, Queries.of(rows)
     table = staged(counted(docs, queries), "counted")
     total = table.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms")).first()
@@ -222,9 +222,10 @@ def _search_block(docs: DataFrame, rows: list[tuple], k: int) -> DataFrame:
                     pa.array(np.full(len(best.ids), at), pa.int32()),
                     pa.array(best.ids, pa.int64(), mask=best.ids == _NO_ID), pa.array(best.scores, pa.int64())], names=FOUND.names)
 
-    found = index.select("doc_id", "n", "terms", "tfs", "m").mapInArrow(run, FOUND)
+    ranked = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
+    found = index.select("doc_id", "n", "terms", "tfs", "m").mapInArrow(run, FOUND).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     names = spark.createDataFrame(list(enumerate(queries.ids)), "query int, item_id long")
-    return found.join(F.broadcast(names), "query").select("item_id", "doc_id", "score")  # ids of one block
+    return found.join(F.broadcast(names), "query").select("item_id", "rank", "doc_id", "score")  # ids of one block
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = 10, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -247,5 +248,4 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, block_chars: int = BL
         if blocks > 1:
             found = staged(found, "found")  # the driver holds one block at a time
         out = found if out is None else out.unionByName(found)
-    ranked = Window.partitionBy("item_id").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
-    return out.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
+    return out
