@@ -17,8 +17,8 @@ from ledgerlens.functions import rules
 from ledgerlens.functions.exact import half_up
 from ledgerlens.functions.onerow import beside
 from ledgerlens.operators import cleaning, finance, payments, quality
-from ledgerlens.plans import checks, elt, etl, pipeline, quality_run, star, warehouse
-from ledgerlens.sources import readers, testdata, workspace, writers
+from ledgerlens.plans import checks, elt, etl, facts, pipeline, quality_run, star, warehouse
+from ledgerlens.sources import readers, testdata, versioned, workspace, writers
 from ledgerlens.streaming import jobs
 
 try:  # the training-data operators are one optional part; without them the rest works
@@ -318,6 +318,57 @@ def scd1_upsert_person(spark, d):
     return portable(star.scd1_upsert(before, changes, "person_id", "updated_at"))
 
 
+# ---- bucketed facts, upserts, loads ------------------------------------------------------------
+
+def _star_tables(spark, d) -> str:
+    """Cleaned inputs as bucketed tables in a database of their own in the shared folder."""
+    place = workspace.new_path(spark, "bucketed")
+    name = "star_" + place.rsplit("-", 1)[1]
+    return facts.write_star(spark, _finance_elt(spark, d), _payments_elt(spark, d), name, place, F.lit("2024-01-31").cast("date"))
+
+
+def bucket_join_persons(spark, d):
+    """Finance facts and persons, merged bucket by bucket whatever their size."""
+    return portable(facts.finance_by_person(spark, _star_tables(spark, d), small_bytes=-1))
+
+
+def bucket_join_payments(spark, d):
+    """Payment facts and clean payments, merged bucket by bucket whatever their size."""
+    return portable(facts.payments_by_group(spark, _star_tables(spark, d), small_bytes=-1))
+
+
+def map_join_by_size(spark, d):
+    """The same join of persons, broadcast if the catalog says that one side is small."""
+    return portable(facts.finance_by_person(spark, _star_tables(spark, d)))
+
+
+def upsert_touched_buckets(spark, d):
+    """Persons, then a load of the retired a year older and under a new tier: only the buckets of their keys are written."""
+    people = _finance_elt(spark, d).select("person_id", "age", "occupation", "city_tier").withColumn("updated_at", F.lit("2024-01-01").cast("date"))
+    table = versioned.VersionedTable(spark, workspace.new_path(spark, "dim-person"), key="person_id", buckets=64)
+    table.upsert(people, ["updated_at"], "2024-01")
+    retired = table.read().where("occupation = 'retired'").withColumns(
+        {"age": c("age") + 1, "city_tier": F.lit("tier_9"), "updated_at": F.lit("2024-02-01").cast("date")})
+    for _ in range(2):  # the second time the load is known
+        table.upsert(retired, ["updated_at"], "2024-02")
+    return portable(table.read())
+
+
+def append_fact_once(spark, d):
+    """Payments appended load by load, each year one load, and every load tried twice; then summed per month and status."""
+    facts_, table = _payments_elt(spark, d).select("transaction_id", "amount_inr", "transaction_status", "transaction_year", "transaction_month"), None
+    staged = workspace.new_path(spark, "fact-loads")
+    writers.write_partitioned(facts_, staged, ("transaction_year",))
+    rows = spark.read.parquet(staged)
+    table = versioned.VersionedTable(spark, workspace.new_path(spark, "fact-payments"), partition_by=("transaction_year", "transaction_month"))
+    years = sorted(r[0] for r in rows.select("transaction_year").distinct().collect())
+    for year in years:
+        for _ in range(2):
+            table.append_once(rows.where(c("transaction_year") == year), f"year {year}")
+    return portable(table.read().groupBy("transaction_year", "transaction_month", "transaction_status").agg(
+        F.count(F.lit(1)).alias("payments"), F.countDistinct("transaction_id").alias("ids"), F.sum("amount_inr").alias("total_amount")))
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 _BOUNDED = {"maxFilesPerTrigger": str(writers.SLICE_FILES)}
@@ -421,7 +472,8 @@ def queries() -> dict[str, Query]:
         anti_join_orphans, distinct_values, union_all_mapping, sample_limit, order_by_group, union_all_mart_counts,
         global_checks, dq_uniqueness, dq_nulls_raw, dq_referential, dq_report, star_fact_personal_finance,
         star_fact_upi_transaction, scd1_upsert_person, stream_passthrough, stream_tumbling_count, stream_late_drop,
-        stream_event_counts, stream_land_raw,
+        stream_event_counts, stream_land_raw, bucket_join_persons, bucket_join_payments, map_join_by_size,
+        upsert_touched_buckets, append_fact_once,
     )}
     elt_features = [
         "person_id", "age_category", "age_range", "occupation_code", "occupation_category", "city_tier_code",

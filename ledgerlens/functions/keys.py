@@ -14,10 +14,19 @@ DIGITS = 15
 def stable_id(key: Sequence[str]) -> Column:
     """The key of a row from its natural key alone: the same in every load, and no shuffle is needed.
 
-    Two natural keys share an id with a chance of about n^2 / 2^61; ``id_collisions`` checks it.
+    Each column goes in with its length, NULL as a sign of its own, so no two natural keys have
+    one text. Two of them share an id with a chance of about n^2 / 2^61; ``id_collisions`` checks it.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("~")) for k in key])
-    return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("bigint")
+    def part(name: str) -> Column:
+        value = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("~"))
+
+    return F.conv(F.substring(F.md5(F.concat(*[part(k) for k in key])), 1, DIGITS), 16, 10).cast("bigint")
+
+
+def spread(columns: Sequence[str]) -> Column:
+    """A hash of a whole row, to deal rows of one key over several tasks; not to name them."""
+    return F.xxhash64(*[F.col(f"`{n}`") for n in columns])
 
 
 def id_collisions(df: DataFrame, name: str) -> DataFrame:

@@ -5,11 +5,8 @@ from pyspark.sql import functions as F
 
 from ..operators import finance, payments
 from ..operators.pairs import PairRelation
-from ..sources import writers
-from . import elt, etl, quality_run, star, warehouse
-
-# tables bucketed on their entity key, as declared for the elt facts
-FINANCE_BUCKETS, PAYMENT_BUCKETS = 8, 16
+from ..sources import bucketed, writers
+from . import elt, etl, facts, quality_run, star, warehouse
 
 
 def run_elt(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame, database: str,
@@ -23,24 +20,20 @@ def run_elt(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame
         return spark.table(f"{database}.{name}")
 
     people = save(finance.clean_elt(finance_raw, as_of), "clean_india_personal_finance")
-    sends = save(payments.clean_elt(payments_raw, as_of), "clean_upi_transaction")
+    clean = f"{database}.clean_upi_transaction"
+    sends = bucketed.save_bucketed(payments.clean_elt(payments_raw, as_of), clean, facts.PAYMENT_BUCKETS, "transaction_id", mode="overwrite")
     pairs = elt.joined(sends, people)
     for name, make in elt.SUMMARIES.items():
         save(make(pairs).withColumn("created_at", as_of), name)
     marts = {n: save(make(pairs).withColumn("mart_created_at", as_of), n) for n, make in elt.MARTS.items()}
     save(elt.fact_spending_behavior_agg(pairs), "fact_spending_behavior_agg", partition_by=("year", "month"))
 
-    ages = save(star.dim_age_group(people), "dim_age_group")
-    save(star.dim_person(people), "dim_person", partition_by=("occupation_type",))
-    types = save(star.dim_transaction_type(sends), "dim_transaction_type")
-    merchants = save(star.dim_merchant_category(sends), "dim_merchant_category")
+    dims = {"ages": save(star.dim_age_group(people), "dim_age_group"), "types": save(star.dim_transaction_type(sends), "dim_transaction_type"),
+            "merchants": save(star.dim_merchant_category(sends), "dim_merchant_category"), "places": save(star.dim_location(sends), "dim_location")}
     save(star.dim_date(sends), "dim_date")
-    places = save(star.dim_location(sends), "dim_location")
-    save(star.fact_personal_finance(people, ages, as_of), "fact_personal_finance",
-         partition_by=("year", "month"), bucket_by=(FINANCE_BUCKETS, "person_sk"))
-    save(star.fact_upi_transaction(sends, types, merchants, ages, places), "fact_upi_transaction",
-         partition_by=("year", "month", "status"), bucket_by=(PAYMENT_BUCKETS, "transaction_id"))
-    writers.analyze(spark, [f"{database}.{n}" for n in marts])
+    facts.save_person_tables(people, dims["ages"], database, as_of)
+    facts.save_payment_facts(sends, dims, database)
+    writers.analyze(spark, [f"{database}.{n}" for n in ("clean_india_personal_finance", *marts)])
     return elt.mart_counts(marts)
 
 

@@ -54,8 +54,12 @@ def with_landing_keys(payments: DataFrame) -> DataFrame:
 
 def save_table(df: DataFrame, name: str, mode: str = "error", partition_by: Sequence[str] = (),
                bucket_by: tuple[int, str] | None = None) -> None:
-    """CREATE TABLE AS SELECT. The mode is explicit: a table left from before is never silently kept."""
-    writer = df.write.format("parquet").mode(mode)
+    """CREATE TABLE AS SELECT. The mode is explicit: a table left from before is never silently kept.
+
+    Rows of a partition are brought together before the write. Bucketed tables are written by
+    ``bucketed.save_bucketed``, which does so for buckets, too.
+    """
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.format("parquet").mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

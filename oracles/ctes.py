@@ -29,6 +29,11 @@ def quantile(column: str, p: float) -> str:
     return f"list_sort(list({column}) {present})[greatest(CAST(ceil({p} * count({column})) AS BIGINT), 1)]"
 
 
+def key_part(c: str) -> str:
+    """A column's part of the text that a surrogate key is the digest of."""
+    return f"coalesce(length({c}) || ':' || {c}, '~')"
+
+
 def _zero(c: str) -> str:
     return f"coalesce({c}, 0) AS {c}"
 
@@ -260,12 +265,12 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "dim_merchant": (
         ("pairs_base",),
-        """SELECT CAST('0x' || substr(md5(merchant_category), 1, 15) AS BIGINT) AS merchant_category_id,
+        f"""SELECT CAST('0x' || substr(md5({key_part('merchant_category')}), 1, 15) AS BIGINT) AS merchant_category_id,
         merchant_category AS category_name FROM (SELECT DISTINCT merchant_category FROM pairs_base)""",
     ),
     "dim_place": (
         ("pairs_base",),
-        """SELECT CAST('0x' || substr(md5(concat(coalesce(sender_state, '~'), '|', coalesce(city_tier, '~'))), 1, 15) AS BIGINT) AS location_id,
+        f"""SELECT CAST('0x' || substr(md5({key_part('sender_state')} || {key_part('city_tier')}), 1, 15) AS BIGINT) AS location_id,
         sender_state AS state, city_tier, 'India' AS region FROM (SELECT DISTINCT sender_state, city_tier FROM pairs_base)""",
     ),
     "dim_occ": (

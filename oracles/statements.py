@@ -1,6 +1,6 @@
 """One DuckDB statement per query. Joined tables are made as real pairs here."""
 
-from .ctes import ETL_PAYMENT, ETL_PERSON, EXPENSES, FINANCE, NUMERIC, OUTLIERS, POTENTIALS, build, group_category, quantile, rnd
+from .ctes import key_part, ETL_PAYMENT, ETL_PERSON, EXPENSES, FINANCE, NUMERIC, OUTLIERS, POTENTIALS, build, group_category, quantile, rnd
 
 PERSON_ELT = (
     "age dependents income total_expenses expense_ratio rent groceries transport eating_out entertainment utilities "
@@ -421,15 +421,15 @@ def _etl() -> dict[str, str]:
 
 def row_id(columns: list[str], of: str = "") -> str:
     """The surrogate key of a row: the first 60 bits of the md5 of its columns."""
-    text = " || '|' || ".join(f"coalesce(CAST({of}{c} AS VARCHAR), '~')" for c in columns)
-    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+    parts = (f"CAST({of}{c} AS VARCHAR)" for c in columns)
+    return f"CAST('0x' || substr(md5({' || '.join(key_part(p) for p in parts)}), 1, 15) AS BIGINT)"
 
 
 def _star() -> dict[str, str]:
     s_age = "SELECT row_number() OVER (ORDER BY age_range) AS age_group_sk, age_range, age_category FROM (SELECT DISTINCT age_range, age_category FROM finance_elt)"
-    types = "SELECT CAST('0x' || substr(md5(coalesce(transaction_type, '~')), 1, 15) AS BIGINT) AS transaction_type_sk, transaction_type, transaction_type_category AS transaction_category FROM (SELECT DISTINCT transaction_type, transaction_type_category FROM payments_elt)"
-    merchants = f"SELECT CAST('0x' || substr(md5(coalesce(merchant_category, '~')), 1, 15) AS BIGINT) AS merchant_category_sk, * FROM (SELECT merchant_category, merchant_category_group AS category_group, spending_type = 'Essential' AS is_essential, {avg('amount_inr', 'avg_transaction_amount', 2)} FROM payments_elt GROUP BY 1, 2, 3)"
-    places = "SELECT CAST('0x' || substr(md5(coalesce(sender_state, '~')), 1, 15) AS BIGINT) AS location_sk, sender_state AS state_name FROM (SELECT DISTINCT sender_state FROM payments_elt)"
+    types = f"SELECT CAST('0x' || substr(md5({key_part('transaction_type')}), 1, 15) AS BIGINT) AS transaction_type_sk, transaction_type, transaction_type_category AS transaction_category FROM (SELECT DISTINCT transaction_type, transaction_type_category FROM payments_elt)"
+    merchants = f"SELECT CAST('0x' || substr(md5({key_part('merchant_category')}), 1, 15) AS BIGINT) AS merchant_category_sk, * FROM (SELECT merchant_category, merchant_category_group AS category_group, spending_type = 'Essential' AS is_essential, {avg('amount_inr', 'avg_transaction_amount', 2)} FROM payments_elt GROUP BY 1, 2, 3)"
+    places = f"SELECT CAST('0x' || substr(md5({key_part('sender_state')}), 1, 15) AS BIGINT) AS location_sk, sender_state AS state_name FROM (SELECT DISTINCT sender_state FROM payments_elt)"
     null = lambda kind, name: f"CAST(NULL AS {kind}) AS {name}"
     fiscal = "CAST(full_date AS DATE) - INTERVAL 3 MONTH"
     return {
@@ -483,8 +483,27 @@ def _streams() -> dict[str, str]:
     return counted | {"stream_late_drop": counted["stream_tumbling_count"]}  # late records count for nothing
 
 
+def _loads() -> dict[str, str]:
+    persons = build(
+        f"SELECT occupation, city_tier, age_category, count(*) AS persons, {total('income', 'total_income')}, {total('total_potential_savings', 'total_potential_savings')}, "
+        f"{avg('total_expenses', 'avg_expenses', 2)} FROM finance_elt GROUP BY 1, 2, 3", "finance_elt")
+    return {
+        "bucket_join_persons": persons, "map_join_by_size": persons,
+        "bucket_join_payments": build(
+            f"SELECT merchant_category, sender_age_group, receiver_age_group, count(*) AS payments, {total('amount_inr', 'total_amount')}, "
+            f"{rnd('max(fraud_score)')} AS max_fraud_score FROM payments_elt GROUP BY 1, 2, 3", "payments_elt"),
+        "upsert_touched_buckets": build(
+            "SELECT person_id, CASE WHEN occupation = 'retired' THEN age + 1 ELSE age END AS age, occupation, "
+            "CASE WHEN occupation = 'retired' THEN 'tier_9' ELSE city_tier END AS city_tier, "
+            "CASE WHEN occupation = 'retired' THEN '2024-02-01' ELSE '2024-01-01' END AS updated_at FROM finance_elt", "finance_elt"),
+        "append_fact_once": build(
+            f"SELECT transaction_year, transaction_month, transaction_status, count(*) AS payments, count(DISTINCT transaction_id) AS ids, "
+            f"{total('amount_inr', 'total_amount')} FROM payments_elt GROUP BY 1, 2, 3", "payments_elt"),
+    }
+
+
 def statements() -> dict[str, str]:
-    return _sources() | _cleaning() | _elt() | _etl() | _star() | _streams()
+    return _loads() | _sources() | _cleaning() | _elt() | _etl() | _star() | _streams()
 
 
 assert len(POTENTIALS) == 8
