@@ -371,22 +371,25 @@ def append_fact_once(spark, d):
 
 # ---- streams --------------------------------------------------------------------------------
 
-_BOUNDED = {"maxFilesPerTrigger": str(writers.SLICE_FILES)}
+_BOUNDED = {"maxFilesPerTrigger": str(writers.BATCH_FILES)}
 
 
-def _topic(spark, df: DataFrame, key: str, when) -> str:
+def _topic(spark, df: DataFrame, key: str, when, file_rows: int = writers.TOPIC_FILE_ROWS) -> str:
     """Land records as a file topic in the shared folder, files in order of time."""
     path = workspace.new_path(spark, "topic")
     records = readers.to_json_records(df.withColumn("_at", when), key, "table").select(
         c("key").cast("binary").alias("key"), c("value").cast("binary").alias("value"),
         F.get_json_object("value", "$._at").cast("timestamp").alias("timestamp"),
     )
-    writers.write_in_time_order(records, path)
+    writers.write_in_time_order(records, path, file_rows=file_rows)
     return path
 
 
-def _payment_topic(spark, d):
-    return _topic(spark, payments.required_keys(_payments(spark, d)), "transaction_id", c("timestamp"))
+def _payment_topic(spark, d, least_files: int = 1):
+    """The payments in files of bounded size; in ``least_files`` or so if they would fit fewer."""
+    rows = payments.required_keys(_payments(spark, d))
+    file_rows = min(writers.TOPIC_FILE_ROWS, max(rows.count() // least_files, 1)) if least_files > 1 else writers.TOPIC_FILE_ROWS
+    return _topic(spark, rows, "transaction_id", c("timestamp"), file_rows)
 
 
 def stream_passthrough(spark, d):
@@ -398,9 +401,22 @@ def stream_passthrough(spark, d):
     return portable(spark.read.parquet(out).drop("processed_at"))
 
 
-def _payment_counts(spark, topic):
+def stream_restart(spark, d):
+    """The windowed count, stopped in the middle of a replay and started again from its checkpoint, state included."""
+    topic = _payment_topic(spark, d, least_files=10)
+    out, checkpoint = workspace.new_path(spark, "stream-counts"), workspace.new_path(spark, "ckpt")
+    settings = jobs.StreamSettings(max_files=2, state_partitions=4)
+    counts = lambda: jobs.payment_counts(jobs.replay(spark, topic, settings))
+    jobs.stopped_after(jobs.updates_to_parquet(counts(), out, checkpoint, settings.trigger, settings), batches=2)
+    jobs.updates_to_parquet(counts(), out, checkpoint, None, settings).awaitTermination()
+    by = ("transaction_status", "sender_age_group")
+    found = jobs.latest_updates(spark, out, by)
+    return portable(found.select(c("window.start").alias("window_start"), c("window.end").alias("window_end"), *by, "count"))
+
+
+def _payment_counts(spark, topic, max_files: int = writers.BATCH_FILES):
     out = workspace.new_path(spark, "stream-counts")
-    records = readers.read_topic(spark, _BOUNDED, "parquet", topic, stream=True)
+    records = jobs.replay(spark, topic, jobs.StreamSettings(max_files=max_files))
     query = jobs.updates_to_parquet(jobs.payment_counts(records), out, workspace.new_path(spark, "ckpt"))
     query.awaitTermination()
     by = ("transaction_status", "sender_age_group")
@@ -414,15 +430,15 @@ def stream_tumbling_count(spark, d):
 
 def stream_late_drop(spark, d):
     """The same counts although every record of the oldest tenth comes once more, after all others: it is too late."""
-    topic = _payment_topic(spark, d)
+    topic = _payment_topic(spark, d, least_files=4)
     records = spark.read.schema(readers.RECORD).parquet(topic)
     at = c("timestamp").cast("double")
     old = records.agg(F.percentile_approx(at, 0.1, 1000).alias("t"))
     late = beside(records, old).where(at < c("t")).drop("t")
     staged = workspace.new_path(spark, "late")
     late.write.parquet(staged)
-    spark.read.schema(readers.RECORD).parquet(staged).repartition(writers.SLICE_FILES).write.mode("append").parquet(topic)
-    return _payment_counts(spark, topic)
+    writers.write_in_time_order(spark.read.schema(readers.RECORD).parquet(staged), topic)  # behind all files that are there
+    return _payment_counts(spark, topic, max_files=2)
 
 
 def stream_event_counts(spark, d):
@@ -472,7 +488,7 @@ def queries() -> dict[str, Query]:
         anti_join_orphans, distinct_values, union_all_mapping, sample_limit, order_by_group, union_all_mart_counts,
         global_checks, dq_uniqueness, dq_nulls_raw, dq_referential, dq_report, star_fact_personal_finance,
         star_fact_upi_transaction, scd1_upsert_person, stream_passthrough, stream_tumbling_count, stream_late_drop,
-        stream_event_counts, stream_land_raw, bucket_join_persons, bucket_join_payments, map_join_by_size,
+        stream_event_counts, stream_land_raw, stream_restart, bucket_join_persons, bucket_join_payments, map_join_by_size,
         upsert_touched_buckets, append_fact_once,
     )}
     elt_features = [

@@ -23,25 +23,33 @@ def land_raw_payments(payments: DataFrame, path: str) -> None:
     write_partitioned(with_landing_keys(payments), path, ("year", "month", "status"))
 
 
-#: Slices of time that a replay topic is written in, and files of a slice.
-TIME_SLICES, SLICE_FILES = 4, 2
+#: Rows of one file of a replay topic, and files that a replay takes at once: a batch is bounded whatever the topic's size.
+TOPIC_FILE_ROWS, BATCH_FILES = 100_000, 8
 
 
-def write_in_time_order(records: DataFrame, path: str, time: str = "timestamp") -> None:
-    """A file topic whose files follow each other in time, for a replay in bounded batches.
+def write_in_time_order(records: DataFrame, path: str, time: str = "timestamp", file_rows: int = TOPIC_FILE_ROWS) -> int:
+    """A file topic whose files follow each other in time, for a replay in bounded batches; returns the number of files.
 
-    A stream takes files by their age. Slices of time are written one after the other, so a
-    batch of ``SLICE_FILES`` files holds nothing older than the batch before and no row of a
-    replay is late. Rows without a time go first.
+    Rows are dealt by ranges of time, and of a hash of the row where many share a time, into as
+    many files as their number asks for; all are written by one job. A stream takes files by
+    their age, so the files are given ages in the order of their ranges, after those that the
+    folder has already: no row of a replay is late. Rows without a time go first.
     """
-    at = F.col(time).cast("double")
-    inner = [i / TIME_SLICES for i in range(1, TIME_SLICES)]
-    edges = records.agg(F.percentile_approx(at, inner, 1000)).first()[0] or []
-    for low, high in zip([None, *edges], [*edges, None]):
-        after = F.lit(True) if low is None else at >= low
-        before = F.lit(True) if high is None else at < high
-        inside = (after & before) | at.isNull() if low is None else after & before
-        records.where(inside).repartition(SLICE_FILES).write.mode("append").parquet(path)
+    spark = records.sparkSession
+    files = max(-(-records.count() // file_rows), 1)
+    spread = F.xxhash64(*[F.col(f"`{n}`") for n in records.columns])
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    folder = at(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = {s.getPath().getName(): s.getModificationTime() for s in system.listStatus(folder)} if system.exists(folder) else {}
+    records.repartitionByRange(files, F.col(time).asc_nulls_first(), spread).write.mode("append").parquet(path)
+    made = sorted(n for n in (s.getPath().getName() for s in system.listStatus(folder)) if n.startswith("part-") and n not in before)
+    start = max([*before.values(), 0]) + 1000
+    now = spark._jvm.java.lang.System.currentTimeMillis()
+    start = max(start, now - 1000 * len(made))
+    for i, name in enumerate(made):  # part numbers follow the ranges
+        system.setTimes(at(folder, name), start + 1000 * i, -1)
+    return len(made)
 
 
 def with_landing_keys(payments: DataFrame) -> DataFrame:

@@ -5,6 +5,11 @@ Each query gets its own checkpoint folder, so each can restart by itself. A
 as '30 seconds' keeps the query running.
 """
 
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -15,6 +20,63 @@ from ..sources.writers import with_landing_keys
 WATERMARK, WINDOW, TRIGGER = "10 minutes", "5 minutes", "30 seconds"
 
 
+@dataclass(frozen=True)
+class StreamSettings:
+    """What one query may set for itself; None leaves the session's setting."""
+
+    trigger: str | None = "0 seconds"
+    #: Files of a topic that one batch takes.
+    max_files: int | None = None
+    #: Partitions of the query's state. They are fixed with its first batch; a restart keeps them.
+    state_partitions: int | None = None
+    #: Batches whose state can be gone back to.
+    batches_kept: int | None = None
+
+    def options(self) -> dict[str, str]:
+        return {} if self.max_files is None else {"maxFilesPerTrigger": str(self.max_files)}
+
+    @contextmanager
+    def applied(self, spark: SparkSession) -> Iterator[None]:
+        """A query takes these from the session when it starts; the session has its own again after that."""
+        wanted = {"spark.sql.shuffle.partitions": self.state_partitions, "spark.sql.streaming.minBatchesToRetain": self.batches_kept}
+        before = {k: spark.conf.get(k, None) for k, v in wanted.items() if v is not None}
+        for k in before:
+            spark.conf.set(k, str(wanted[k]))
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+
+
+def replay(spark: SparkSession, topic: str, settings: StreamSettings) -> DataFrame:
+    """A file topic as a stream, taken as the settings say."""
+    return readers.read_topic(spark, settings.options(), "parquet", topic, stream=True)
+
+
+def stopped_after(query: StreamingQuery, batches: int, seconds: float = 600.0) -> int:
+    """Stops a running query once it has finished so many batches; returns how many it had.
+
+    A batch that is under way is cut off; its offsets are in the checkpoint, and the next start
+    does it again. A query that fails raises its error.
+    """
+    end = time.monotonic() + seconds
+    done = 0
+    while query.isActive and time.monotonic() < end:
+        progress = query.lastProgress
+        done = max(done, progress["batchId"] + 1 if progress and progress["numInputRows"] else 0)
+        if done >= batches:
+            break
+        time.sleep(0.05)
+    query.stop()
+    if query.exception():
+        raise query.exception()
+    return done
+
+
 def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
 
@@ -52,13 +114,15 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, partition_by: tuple[st
     return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
-def updates_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+def updates_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+                       settings: StreamSettings = StreamSettings()) -> StreamingQuery:
     """Update mode to files: one folder per batch, replaced if the batch is retried."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = df.writeStream.outputMode("update").foreachBatch(write)
-    return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
+    with settings.applied(df.sparkSession):
+        return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()
 
 
 def latest_updates(spark: SparkSession, path: str, by: tuple[str, ...]) -> DataFrame:
