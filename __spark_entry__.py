@@ -17,7 +17,7 @@ from ledgerlens.functions import rules
 from ledgerlens.functions.exact import half_up
 from ledgerlens.functions.onerow import beside
 from ledgerlens.operators import cleaning, finance, payments, quality
-from ledgerlens.plans import checks, elt, etl, facts, pipeline, quality_run, star, warehouse
+from ledgerlens.plans import checks, elt, etl, facts, incremental, pipeline, quality_run, star, warehouse
 from ledgerlens.sources import readers, testdata, versioned, workspace, writers
 from ledgerlens.streaming import jobs
 
@@ -369,6 +369,84 @@ def append_fact_once(spark, d):
         F.count(F.lit(1)).alias("payments"), F.countDistinct("transaction_id").alias("ids"), F.sum("amount_inr").alias("total_amount")))
 
 
+def scd1_changed_only(spark, d):
+    """Two full deliveries of the persons, the second with some moved up an age: only those are written; with the rows each load wrote."""
+    people = _finance_elt(spark, d).select("person_id", "age", "occupation", "city_tier")
+    table = versioned.VersionedTable(spark, workspace.new_path(spark, "dim-person"), key="person_id", buckets=16)
+    pipeline.load_persons(table, people, "first")
+    second = people.withColumn("age", F.when(c("city_tier") == "tier_2", c("age") + 1).otherwise(c("age")))
+    changed = pipeline.load_persons(table, second, "second")
+    again = pipeline.load_persons(table, second, "third")
+    return portable(table.read().withColumns({"rows_changed": F.lit(changed).cast("long"), "rows_changed_again": F.lit(again).cast("long")}))
+
+
+def behavior_agg_incremental(spark, d):
+    """The spending-behaviour fact after two loads: payments by web come later, and only their months are made anew."""
+    pairs = _pairs_elt(spark, d)
+    names = [*incremental.BY, "transaction_amount", "fraud_flag", "is_weekend", "device_type"]
+    rows = pairs.payments.select(*names)
+    stored, states = workspace.new_path(spark, "payments-by-month"), workspace.new_path(spark, "states")
+    late = F.coalesce((c("device_type") == "web") & (c("transaction_year") >= 1997), F.lit(False))
+    for part in (rows.where(~late), rows.where(late)):
+        incremental.load(spark, part, stored, states)
+    return portable(incremental.behavior_from_states(spark.read.parquet(states), pairs))
+
+
+def src_json_quarantine(spark, d):
+    """Payment records, some cut off and some without an id, split in one pass; counted with their amounts."""
+    records = readers.to_json_records(_payments(spark, d), "transaction_id", "table")
+    hour = F.get_json_object("value", "$.hour_of_day").cast("int")
+    broken = F.when(hour == 3, F.expr("left(value, 40)")).when(hour == 5, F.lit(" ")).when(
+        hour == 7, F.regexp_replace("value", '"transaction_id":"[^"]*"', '"transaction_id":null')).otherwise(c("value"))
+    judged = readers.judged_records(records.withColumn("value", broken), readers.PAYMENTS_TYPED, ("transaction_id",))
+    good, bad = readers.split_records(judged, workspace.new_path(spark, "split"))
+    counted = good.agg(F.count(F.lit(1)).alias("records"), F.sum(c("amount_inr").cast("decimal(18,2)")).alias("total_amount")).withColumn("reason", F.lit("good"))
+    return portable(counted.select("reason", "records", "total_amount").unionByName(
+        bad.groupBy(c("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("records")).withColumn("total_amount", F.lit(None).cast("decimal(18,2)"))))
+
+
+def audit_of_loads(spark, d):
+    """The audit log of a load of both clean sets and of one that fails: counted while written."""
+    log, base = workspace.new_path(spark, "audit"), workspace.new_path(spark, "audited")
+    writers.audited(_finance_elt(spark, d), lambda df: df.write.parquet(f"{base}/finance"), "clean_india_personal_finance", "INITIAL_LOAD", log)
+    writers.audited(_payments_elt(spark, d), lambda df: df.write.parquet(f"{base}/payments"), "clean_upi_transaction", "INITIAL_LOAD", log)
+    try:  # the folder is taken
+        writers.audited(_finance_elt(spark, d), lambda df: df.write.parquet(f"{base}/payments"), "clean_india_personal_finance", "RELOAD", log)
+    except Exception as error:
+        if "PATH_ALREADY_EXISTS" not in str(error):
+            raise
+    return portable(spark.read.parquet(log).select("table_name", "operation", "record_count", "status", c("error_message").isNotNull().alias("failed")))
+
+
+def cat_column_stats(spark, d):
+    """Statistics of the columns of the clean payments, as the planner has them; estimates of distinct values as a check of their error."""
+    place = workspace.new_path(spark, "stats")
+    name = "stats_" + place.rsplit("-", 1)[1]
+    writers.create_database(spark, name, "Statistics", place)
+    table = _payments_elt(spark, d).select("transaction_id", "amount_inr", "hour_of_day", "is_weekend", "fraud_flag", "transaction_year", "transaction_month")
+    writers.save_table(table, f"{name}.clean_payments", "overwrite")
+    found = writers.column_statistics(spark, [f"{name}.clean_payments"])
+    exact = spark.table(f"{name}.clean_payments").agg(*[F.countDistinct(n).alias(n) for n in table.columns]).first()
+    near = F.lit(False)
+    for n in table.columns:
+        near = F.when(c("column_name") == n, F.abs(c("distinct_estimate") - F.lit(exact[n])) <= F.lit(exact[n]) * 0.15).otherwise(near)
+    return found.select("table_name", "column_name", "row_count", "null_count", c("min_value").try_cast("double").alias("low"),
+                        c("max_value").try_cast("double").alias("high"), near.alias("distinct_within_15_percent"), "histogram")
+
+
+def dq_distribution_sketch(spark, d):
+    """Quantiles of amount from sketches kept per month and merged; whether their true ranks are within the stated error."""
+    rows = _payments_elt(spark, d).select("amount_inr", "hour_of_day", "transaction_year", "transaction_month").withColumn("amount", c("amount_inr").cast("double"))
+    kept = workspace.new_path(spark, "sketches")
+    quality.distribution_sketches(rows, ("amount", "hour_of_day"), ("transaction_year", "transaction_month")).write.parquet(kept)
+    found = quality.sketched_quantiles(spark.read.parquet(kept))
+    values = rows.select(F.explode(F.array(*[F.struct(F.lit(n).alias("column"), c(n).cast("double").alias("value")) for n in ("amount", "hour_of_day")])).alias("v")).select("v.*")
+    ranks = values.join(F.broadcast(found), "column").groupBy("column", "prob", "count", "quantile").agg(  # six rows
+        F.avg((c("value") < c("quantile")).cast("double")).alias("below"), F.avg((c("value") <= c("quantile")).cast("double")).alias("upto"))
+    error = quality.RANK_ERROR
+    return ranks.select("column", "count", "prob", ((c("below") - error <= c("prob")) & (c("prob") <= c("upto") + error)).alias("close"))
+
+
 # ---- streams --------------------------------------------------------------------------------
 
 _BOUNDED = {"maxFilesPerTrigger": str(writers.BATCH_FILES)}
@@ -489,7 +567,8 @@ def queries() -> dict[str, Query]:
         global_checks, dq_uniqueness, dq_nulls_raw, dq_referential, dq_report, star_fact_personal_finance,
         star_fact_upi_transaction, scd1_upsert_person, stream_passthrough, stream_tumbling_count, stream_late_drop,
         stream_event_counts, stream_land_raw, stream_restart, bucket_join_persons, bucket_join_payments, map_join_by_size,
-        upsert_touched_buckets, append_fact_once,
+        upsert_touched_buckets, append_fact_once, scd1_changed_only, behavior_agg_incremental, src_json_quarantine,
+        audit_of_loads, cat_column_stats, dq_distribution_sketch,
     )}
     elt_features = [
         "person_id", "age_category", "age_range", "occupation_code", "occupation_category", "city_tier_code",

@@ -15,6 +15,8 @@ from ..functions.onerow import beside
 from ..functions.quantiles import exact_quantiles
 
 c = F.col
+#: Size of a quantile sketch, and the error of ranks that it keeps with near certainty, as a share of the values.
+SKETCH_SIZE, RANK_ERROR = 400, 0.01
 _COUNT = "decimal(38,0)"
 
 
@@ -42,22 +44,27 @@ def _unpivot(one_row: DataFrame, items: Mapping[str, Column]) -> DataFrame:
 def check_uniqueness(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """Total, distinct (NULL is one value) and repeated rows per column.
 
-    Counted per value first, so a value that fills a third of the table is one row after the combine.
+    All columns are read in one scan: every value becomes a row with the number of its column, and
+    the rows are counted per value, so a value that fills a third of the table is one row after
+    the combine.
     """
-    def one(name: str) -> DataFrame:
-        per_value = df.groupBy(name).agg(_rows(weight).alias("n"))
-        counts = per_value.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast(_COUNT).alias("total_count"),
-            F.count(F.lit(1)).cast(_COUNT).alias("distinct_count"),
-        )
-        repeated = (c("total_count") - c("distinct_count")).cast(_COUNT)
-        return counts.select(
-            F.lit(name).alias("column"), "total_count", "distinct_count", repeated.alias("duplicate_count"),
-            _share(c("distinct_count"), c("total_count")).alias("uniqueness_percentage"),
-            (repeated == 0).alias("passed"),
-        )
-
-    return _union([one(n) for n in columns if n in df.columns])
+    names = [n for n in columns if n in df.columns]
+    values = [F.struct(F.lit(i).alias("i"), c(n).cast("string").alias("value")) for i, n in enumerate(names)]
+    kept = [] if weight is None else [c(weight).alias("w")]
+    long = df.select(F.explode(F.array(*values)).alias("_v"), *kept).select("_v.i", "_v.value", *[c("w") for _ in kept])
+    per_value = long.groupBy("i", "value").agg(_rows(None if weight is None else "w").alias("n"))
+    counts = per_value.groupBy("i").agg(F.sum("n").cast(_COUNT).alias("total"), F.count(F.lit(1)).cast(_COUNT).alias("distinct"))
+    none = F.lit(0).cast(_COUNT)
+    # a row per column also where there is no row at all
+    one_row = counts.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("total", "distinct")))).alias("_counts"))
+    items = {n: F.struct(F.coalesce(c("_counts")[i]["total"], none).alias("total"), F.coalesce(c("_counts")[i]["distinct"], none).alias("distinct"))
+             for i, n in enumerate(names)}
+    total, distinct = c("found.total"), c("found.distinct")
+    repeated = (total - distinct).cast(_COUNT)
+    return _unpivot(one_row, items).select(
+        "column", total.alias("total_count"), distinct.alias("distinct_count"), repeated.alias("duplicate_count"),
+        _share(distinct, total).alias("uniqueness_percentage"), (repeated == 0).alias("passed"),
+    )
 
 
 def check_nulls(df: DataFrame, columns: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
@@ -168,6 +175,23 @@ def check_distribution(df: DataFrame, columns: Sequence[str], weight: str | None
     )
 
 
+def distribution_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), size: int = SKETCH_SIZE) -> DataFrame:
+    """``by``, ``column``, ``sketch``: a mergeable quantile sketch per column and group, for tables that are kept by partition.
+
+    A sketch has a bounded size whatever the group's; NULL values count for nothing.
+    """
+    values = F.array(*[F.struct(F.lit(n).alias("column"), c(n).cast("double").alias("value")) for n in columns])
+    long = df.select(*by, F.explode(values).alias("_v")).select(*by, "_v.column", "_v.value").where(c("value").isNotNull())
+    return long.groupBy(*by, "column").agg(F.kll_sketch_agg_double("value", size).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75), size: int = SKETCH_SIZE) -> DataFrame:
+    """``column, count, prob, quantile`` from the sketches of any number of partitions, merged. Ranks are right within ``RANK_ERROR``."""
+    whole = sketches.groupBy("column").agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
+    found = [F.struct(F.lit(float(p)).alias("prob"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("quantile")) for p in probs]
+    return whole.select("column", F.kll_sketch_get_n_double("sketch").alias("count"), F.inline(F.array(*found)))
+
+
 def check_rows(checks: Mapping[str, Sequence[DataFrame]]) -> DataFrame:
     """All checks as (check_type, item, passed, detail), the detail as JSON."""
     def uniform(kind: str, frame: DataFrame) -> DataFrame:

@@ -417,23 +417,16 @@ def mart_monthly_trends(pairs: PairRelation) -> DataFrame:
     })
 
 
-def fact_spending_behavior_agg(pairs: PairRelation) -> DataFrame:
-    """Category, merchant and month; savings are the persons' disposable less desired, averaged."""
-    joined = pairs.by_payment(
-        ("merchant_category", "transaction_year", "transaction_month"),
-        [
-            F.sum("transaction_amount").alias("total_amount"),
-            mean("transaction_amount").alias("avg_transaction_amount"),
-            F.min("transaction_amount").alias("min_transaction_amount"),
-            F.max("transaction_amount").alias("max_transaction_amount"),
-            count_if(c("fraud_flag") == 1).alias("_fraud"), count_if(c("is_weekend") == 1).alias("_weekend"),
-        ],
-        [
-            mean("income").alias("avg_income"),
-            mean(c("disposable_income") - c("desired_savings")).alias("avg_savings"),
-            mean("disposable_income").alias("avg_disposable_income"),
-        ],
-    )
+def behavior_persons() -> list[Column]:
+    """The persons' part of the spending-behaviour fact; savings are the disposable income less the desired savings."""
+    return [
+        mean("income").alias("avg_income"), mean(c("disposable_income") - c("desired_savings")).alias("avg_savings"),
+        mean("disposable_income").alias("avg_disposable_income"),
+    ]
+
+
+def behavior_columns(joined: DataFrame) -> DataFrame:
+    """The fact's columns from payment groups beside their persons."""
     return _rounded(joined.select(
         "age_category", "merchant_category", c("transaction_year").alias("year"),
         c("transaction_month").alias("month"), pair_rows().alias("total_transactions"),
@@ -448,6 +441,21 @@ def fact_spending_behavior_agg(pairs: PairRelation) -> DataFrame:
     })
 
 
+def fact_spending_behavior_agg(pairs: PairRelation) -> DataFrame:
+    """Category, merchant and month."""
+    return behavior_columns(pairs.by_payment(
+        ("merchant_category", "transaction_year", "transaction_month"),
+        [
+            F.sum("transaction_amount").alias("total_amount"),
+            mean("transaction_amount").alias("avg_transaction_amount"),
+            F.min("transaction_amount").alias("min_transaction_amount"),
+            F.max("transaction_amount").alias("max_transaction_amount"),
+            count_if(c("fraud_flag") == 1).alias("_fraud"), count_if(c("is_weekend") == 1).alias("_weekend"),
+        ],
+        behavior_persons(),
+    ))
+
+
 SUMMARIES = {
     f.__name__: f for f in (
         age_category_spending_summary, merchant_category_analysis, occupation_spending_analysis,

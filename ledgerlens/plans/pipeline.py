@@ -6,17 +6,25 @@ from pyspark.sql import functions as F
 from ..operators import finance, payments
 from ..operators.pairs import PairRelation
 from ..sources import bucketed, writers
+from ..sources.versioned import VersionedTable
+from ..sources.workspace import new_path
 from . import elt, etl, facts, quality_run, star, warehouse
 
 
 def run_elt(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame, database: str,
-            as_of: Column | None = None) -> DataFrame:
-    """Clean tables, summaries, marts and statistics into ``database``; returns the mart counts."""
+            as_of: Column | None = None, audit_log: str | None = None) -> DataFrame:
+    """Clean tables, summaries, marts and statistics into ``database``; returns the mart counts.
+
+    Every table that is saved gets a row in the audit log, a folder (``audit_log``, else a new one
+    in the shared folder), with the rows that were counted while it was written. A run that ends
+    with a table missing or empty fails.
+    """
     writers.create_database(spark, database, "Curated tables for analytics")
     as_of = F.current_timestamp() if as_of is None else as_of
+    log = audit_log or new_path(spark, "audit")
 
     def save(df: DataFrame, name: str, **options) -> DataFrame:
-        writers.save_table(df, f"{database}.{name}", mode="overwrite", **options)
+        writers.audited(df, lambda rows: writers.save_table(rows, f"{database}.{name}", mode="overwrite", **options), name, "INITIAL_LOAD", log)
         return spark.table(f"{database}.{name}")
 
     people = save(finance.clean_elt(finance_raw, as_of), "clean_india_personal_finance")
@@ -34,6 +42,7 @@ def run_elt(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame
     facts.save_person_tables(people, dims["ages"], database, as_of)
     facts.save_payment_facts(sends, dims, database)
     writers.analyze(spark, [f"{database}.{n}" for n in ("clean_india_personal_finance", *marts)])
+    writers.require_rows(spark, [f"{database}.{n}" for n in ("clean_india_personal_finance", "clean_upi_transaction", "fact_personal_finance", "fact_upi_transaction")])
     return elt.mart_counts(marts)
 
 
@@ -63,10 +72,12 @@ def staged_warehouse(pairs: PairRelation, base: str) -> warehouse.Warehouse:
 
 
 def run_etl(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame, base: str, database: str,
-            as_of: Column | None = None) -> DataFrame:
+            as_of: Column | None = None, load_id: str | None = None) -> DataFrame:
     """Clean and rejected sets under ``base``, the star schema in ``database``, the quality report as JSON.
 
-    Returns the quality report.
+    Loads of the warehouse are in the audit log ``base/audit``. With a ``load_id`` the payments
+    are also appended to the ledgered fact ``base/fact_payments``, once however often the run is
+    tried. Returns the quality report.
     """
     as_of = F.current_timestamp() if as_of is None else as_of
     pairs = stage_etl(finance_raw, payments_raw, base, as_of)
@@ -76,11 +87,33 @@ def run_etl(spark: SparkSession, finance_raw: DataFrame, payments_raw: DataFrame
     )
     report = quality_run.quality.quality_report(checks).withColumn("timestamp", as_of)
     writers.write_json_report(report, f"{base}/quality/report")
-    load_warehouse(spark, pairs, database, as_of)
+    built = load_warehouse(spark, pairs, database, as_of, f"{base}/audit")
+    if load_id is not None:
+        months = ("transaction_year", "transaction_month")
+        fact = VersionedTable(spark, f"{base}/fact_payments", partition_by=months)
+        fact.append_once(warehouse.payment_half(pairs, built.dim_age_category, built.dim_merchant_category), load_id)
     return report
 
 
-def load_warehouse(spark: SparkSession, pairs: PairRelation, database: str, as_of: Column) -> warehouse.Warehouse:
+def load_persons(table: VersionedTable, people: DataFrame, load_id: str) -> int:
+    """A full delivery of the persons into their dimension; returns how many rows were new or had changed.
+
+    Rows are compared by digest, and only the key buckets of those that changed are written.
+    """
+    if load_id in table.manifest().loads:
+        return 0
+    if table.manifest().schema is None:
+        changed = people
+    else:
+        changed = star.changed_rows(table.read(), people, table.key)
+    path = new_path(people.sparkSession, "changed")
+    changed.write.parquet(path)
+    rows = people.sparkSession.read.schema(people.schema).parquet(path)
+    table.upsert(rows, load_id=load_id)
+    return rows.count()
+
+
+def load_warehouse(spark: SparkSession, pairs: PairRelation, database: str, as_of: Column, audit_log: str | None = None) -> warehouse.Warehouse:
     """Dimensions and persons merged by key, partition-wise refresh of the payments, views registered.
 
     Keys depend on natural keys alone, so facts of earlier loads keep their dimensions. A
@@ -92,10 +125,16 @@ def load_warehouse(spark: SparkSession, pairs: PairRelation, database: str, as_o
         full = f"{database}.{name}"
         writers.create_table(spark, full, {f.name: f.dataType.simpleString() for f in df.schema.fields},
                              partition_by=partition_by)
-        if partition_by:
-            writers.refresh_partitions(df, full)
+        def write(rows: DataFrame) -> None:
+            if partition_by:
+                writers.refresh_partitions(rows, full)
+            else:
+                writers.merge_by_key(rows, full, warehouse.TABLE_KEYS[name])
+
+        if audit_log:
+            writers.audited(df, write, name, "REFRESH" if partition_by else "MERGE", audit_log)
         else:
-            writers.merge_by_key(df, full, warehouse.TABLE_KEYS[name])
+            write(df)
         return spark.table(full)
 
     built = warehouse.build(pairs, load)

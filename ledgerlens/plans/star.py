@@ -53,6 +53,18 @@ def scd1_upsert(dimension: DataFrame, changes: DataFrame, key: str, version: str
     return scd1_latest(dimension.unionByName(changes), key, [version])
 
 
+def changed_rows(dimension: DataFrame, load: DataFrame, key: str) -> DataFrame:
+    """The rows of ``load`` that are new or differ from the dimension's row of their key in any column.
+
+    Only keys and digests meet; rows that did not change move no further.
+    """
+    names = [n for n in load.columns if n != key]
+    digest = F.sha2(F.to_json(F.struct(*[c(n).cast("string").alias(n) for n in names]), {"ignoreNullFields": "false"}), 256)
+    known = dimension.select(c(key).alias("_key"), digest.alias("_digest"))
+    same = load.withColumn("_new", digest).join(known, c(key).eqNullSafe(c("_key")) & (c("_new") == c("_digest")), "left_anti")
+    return same.drop("_new")
+
+
 def dim_person(clean_finance: DataFrame) -> DataFrame:
     """One row per person; the person id is the key, and serves as its surrogate too."""
     people = clean_finance.select(

@@ -76,6 +76,42 @@ def malformed_records(records: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+#: Why a record is kept apart.
+EMPTY, MALFORMED, NO_KEY = "empty value", "malformed", "no key"
+
+
+def judged_records(records: DataFrame, schema: T.StructType, required: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records with their columns and ``_reason``, NULL for good ones; ``_raw`` holds the value of the others.
+
+    One parse tells all: an empty value, text that is no JSON object of the schema, or one
+    that lacks a ``required`` field.
+    """
+    corrupt = T.StructType(list(schema.fields)).add("_corrupt", "string")
+    options = {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"}
+    text = F.col("value").cast("string")
+    rows = records.select(text.alias("_text"), F.from_json(text, corrupt, options).alias("data"), *keep)
+    lacking = F.lit(False)
+    for n in required:
+        lacking = lacking | F.col(f"data.{n}").isNull()
+    reason = (F.when(F.coalesce(F.trim("_text"), F.lit("")) == "", EMPTY)
+              .when(F.col("data").isNull() | F.col("data._corrupt").isNotNull(), MALFORMED).when(lacking, NO_KEY))
+    rows = rows.withColumn("_reason", reason)
+    return rows.select(*[F.col(f"data.{f.name}").alias(f.name) for f in schema.fields], *keep, "_reason",
+                       F.when(F.col("_reason").isNotNull(), F.col("_text")).alias("_raw"))
+
+
+def split_records(judged: DataFrame, path: str, mode: str = "error") -> tuple[DataFrame, DataFrame]:
+    """Good rows and the quarantine (with ``_reason`` and ``_raw``), written by one pass into two partitions of ``path``.
+
+    Reading one of them does not touch the other's files.
+    """
+    spark = judged.sparkSession
+    judged.withColumn("_state", F.when(F.col("_reason").isNull(), "good").otherwise("quarantine")).write.mode(mode).partitionBy("_state").parquet(path)
+    rows = spark.read.schema(judged.schema.add("_state", "string")).parquet(path)
+    good = rows.where("_state = 'good'").drop("_state", "_reason", "_raw")
+    return good, rows.where("_state = 'quarantine'").drop("_state")
+
+
 def with_extract_metadata(df: DataFrame, source_system: str, as_of: Column | None = None) -> DataFrame:
     """Extraction time and source label; ``as_of`` fixes the time for reproducible runs."""
     return df.withColumns({

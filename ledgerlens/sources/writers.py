@@ -1,8 +1,8 @@
 """Sinks, catalog set-up and table statistics."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .workspace import new_path
@@ -84,11 +84,19 @@ def insert_overwrite(df: DataFrame, name: str) -> None:
 def merge_by_key(df: DataFrame, name: str, key: str) -> None:
     """Rows of ``df`` replace those of the table with their key; the other rows stay.
 
-    The merged table is staged first, because a table cannot be overwritten while it is read.
+    For small dimension tables of the catalog: the merged table is staged and written whole. A
+    large table, or one that must survive a crash in between, is a ``versioned.VersionedTable``.
+    Of several rows of one key in ``df`` the greatest by the other columns counts.
     """
     spark, staged = df.sparkSession, new_path(df.sparkSession, "merged")
-    new = df.select(*spark.table(name).columns)
-    kept = spark.table(name).join(new.select(key).distinct(), key, "left_anti").select(*new.columns)
+    names = spark.table(name).columns
+    rest = [n for n in names if n != key]
+    new = df.groupBy(key).agg(F.max(F.struct(*rest)).alias("_row")).select(*[F.col(n) if n == key else F.col(f"_row.{n}") for n in names])
+    # read once: what is counted while it is written is counted once, too
+    loaded = f"{staged}-new"
+    new.write.parquet(loaded)
+    new = spark.read.schema(new.schema).parquet(loaded)
+    kept = spark.table(name).join(new.select(key), key, "left_anti").select(*names)
     kept.unionByName(new).write.parquet(staged)
     insert_overwrite(spark.read.parquet(staged), name)
 
@@ -155,6 +163,55 @@ def audit_rows(df: DataFrame, table_name: str, operation: str, status: str = "SU
     )
 
 
+#: Columns of the audit log.
+AUDIT = "table_name string, operation string, record_count long, status string, error_message string"
+
+
+def audited(df: DataFrame, write: Callable[[DataFrame], None], table_name: str, operation: str, log: str) -> int:
+    """Writes ``df`` and appends the load to the audit log (a Parquet folder); returns the rows written.
+
+    Rows are counted while they are written, so there is no second scan. A write that fails is
+    logged with its error, and the error goes on.
+    """
+    seen = Observation()
+    spark = df.sparkSession
+
+    def entry(*row) -> None:
+        spark.createDataFrame([row], AUDIT).coalesce(1).write.mode("append").parquet(log)
+
+    try:
+        write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    except Exception as error:
+        entry(table_name, operation, None, "FAILED", str(error).split("\n")[0][:500])
+        raise
+    rows = seen.get["rows"]
+    entry(table_name, operation, rows, "SUCCESS", None)
+    return rows
+
+
+def column_statistics(spark: SparkSession, names: Sequence[str], histograms: bool = True) -> DataFrame:
+    """Computes statistics of tables and all their columns for the planner; returns them, a row per column.
+
+    Distinct counts are estimates, as the planner's are; extremes, NULLs and row counts are exact.
+    """
+    rows, setting = [], "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(histograms).lower())
+    try:
+        for name in names:
+            spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+            total = int(spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Statistics'").first()["data_type"].split(", ")[1].split(" ")[0])
+            for field in spark.table(name).schema.fields:
+                facts = dict(spark.sql(f"DESCRIBE EXTENDED {name} `{field.name}`").select("info_name", "info_value").collect())
+                known = {k: None if v == "NULL" else v for k, v in facts.items()}
+                rows.append((name.split(".")[-1], field.name, total, int(known["num_nulls"]) if known.get("num_nulls") else None, known.get("min"), known.get("max"),
+                             int(known["distinct_count"]) if known.get("distinct_count") else None, bool(known.get("histogram"))))
+    finally:
+        spark.conf.set(setting, before)
+    return spark.createDataFrame(
+        rows, "table_name string, column_name string, row_count long, null_count long, min_value string, max_value string, distinct_estimate long, histogram boolean")
+
+
 def load_check(df: DataFrame, table_name: str) -> DataFrame:
     """The post-load sanity row: count, age extremes, average income."""
     return df.agg(
@@ -174,3 +231,10 @@ def validate_tables(spark: SparkSession, names: Sequence[str]) -> DataFrame:
         one = one.select(F.lit(name).alias("table_name"), "row_count")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def require_rows(spark: SparkSession, names: Sequence[str]) -> None:
+    """Fails if a table is missing or has no row."""
+    bad = [r.table_name for r in validate_tables(spark, names).where("row_count <= 0").collect()]
+    if bad:
+        raise ValueError(f"tables without rows: {', '.join(sorted(bad))}")

@@ -135,3 +135,13 @@ def land_raw(records: DataFrame, path: str, checkpoint: str, trigger: str | None
     """Payments topic to raw parquet partitioned by year, month and status."""
     rows = readers.parse_records(records, readers.PAYMENTS_TYPED)
     return to_parquet(with_landing_keys(rows), path, checkpoint, ("year", "month", "status"), trigger)
+
+
+def split_stream(records: DataFrame, schema, path: str, checkpoint: str, required: tuple[str, ...] = (), trigger: str | None = None) -> StreamingQuery:
+    """Good rows and the quarantine of a topic, batch by batch; the folder of a batch is replaced if the batch is retried."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        readers.split_records(batch, f"{path}/batch={batch_id}", "overwrite")
+
+    judged = readers.judged_records(records.withColumnRenamed("timestamp", "kafka_timestamp"), schema, required, ("kafka_timestamp",))
+    writer = judged.writeStream.foreachBatch(write)
+    return _triggered(writer.option("checkpointLocation", checkpoint), trigger).start()

@@ -497,6 +497,26 @@ def _loads() -> dict[str, str]:
             "SELECT person_id, CASE WHEN occupation = 'retired' THEN age + 1 ELSE age END AS age, occupation, "
             "CASE WHEN occupation = 'retired' THEN 'tier_9' ELSE city_tier END AS city_tier, "
             "CASE WHEN occupation = 'retired' THEN '2024-02-01' ELSE '2024-01-01' END AS updated_at FROM finance_elt", "finance_elt"),
+        "scd1_changed_only": build(
+            "SELECT person_id, CASE WHEN city_tier = 'tier_2' THEN age + 1 ELSE age END AS age, occupation, city_tier, "
+            "(SELECT count(*) FROM finance_elt WHERE city_tier = 'tier_2') AS rows_changed, CAST(0 AS BIGINT) AS rows_changed_again FROM finance_elt", "finance_elt"),
+        "behavior_agg_incremental": _elt()["fact_spending_behavior_agg"],
+        "src_json_quarantine": build(
+            f"""SELECT 'good' AS reason, count(*) AS records, {total('amount_inr', 'total_amount')} FROM payments_raw WHERE hour_of_day NOT IN (3, 5, 7)
+            UNION ALL SELECT CASE hour_of_day WHEN 3 THEN 'malformed' WHEN 5 THEN 'empty value' ELSE 'no key' END, count(*), NULL
+            FROM payments_raw WHERE hour_of_day IN (3, 5, 7) GROUP BY hour_of_day""", "payments_raw"),
+        "audit_of_loads": build(
+            "SELECT 'clean_india_personal_finance' AS table_name, 'INITIAL_LOAD' AS operation, (SELECT count(*) FROM finance_elt) AS record_count, 'SUCCESS' AS status, false AS failed "
+            "UNION ALL SELECT 'clean_upi_transaction', 'INITIAL_LOAD', (SELECT count(*) FROM payments_elt), 'SUCCESS', false "
+            "UNION ALL SELECT 'clean_india_personal_finance', 'RELOAD', NULL, 'FAILED', true", "finance_elt", "payments_elt"),
+        "cat_column_stats": build(" UNION ALL ".join(
+            f"SELECT 'clean_payments' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+            + ("CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, " if c == "transaction_id" else f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, ")
+            + f"true AS distinct_within_15_percent, {'false' if c == 'transaction_id' else 'true'} AS histogram FROM payments_elt"
+            for c in ("transaction_id", "amount_inr", "hour_of_day", "is_weekend", "fraud_flag", "transaction_year", "transaction_month")), "payments_elt"),
+        "dq_distribution_sketch": build(
+            "SELECT c AS \"column\", (SELECT count(*) FROM payments_elt) AS \"count\", p AS prob, true AS close "
+            "FROM (VALUES ('amount'), ('hour_of_day')) a(c), (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) b(p)", "payments_elt"),
         "append_fact_once": build(
             f"SELECT transaction_year, transaction_month, transaction_status, count(*) AS payments, count(DISTINCT transaction_id) AS ids, "
             f"{total('amount_inr', 'total_amount')} FROM payments_elt GROUP BY 1, 2, 3", "payments_elt"),

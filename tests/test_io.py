@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import keys, rules
 from ledgerlens.plans import pipeline
 from ledgerlens.sources import readers, testdata, workspace, writers
+from ledgerlens.sources.versioned import VersionedTable
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -90,7 +91,10 @@ def test_metadata_and_topic_options(spark):
 
 
 def test_elt_run_writes_every_table(spark):
-    counts = pipeline.run_elt(spark, testdata.finance_raw(spark, SMALL), testdata.payments_raw(spark, SMALL), "elt_run", as_of())
+    log = workspace.new_path(spark, "audit-test")
+    counts = pipeline.run_elt(spark, testdata.finance_raw(spark, SMALL), testdata.payments_raw(spark, SMALL), "elt_run", as_of(), log)
+    for row in spark.read.parquet(log).collect():
+        assert row.status == "SUCCESS" and row.record_count == spark.table(f"elt_run.{row.table_name}").count()
     found = {r.mart_name: r.record_count for r in counts.collect()}
     assert len(found) == 5 and all(found.values())
     upi = spark.table("elt_run.fact_upi_transaction")
@@ -101,13 +105,17 @@ def test_elt_run_writes_every_table(spark):
 def test_etl_run_twice_gives_one_load(spark, tmp_path):
     inputs = [testdata.as_text(f(spark, SMALL)) for f in (testdata.finance_raw, testdata.payments_raw)]
     for i in range(2):
-        report = pipeline.run_etl(spark, *inputs, str(tmp_path / f"run{i}"), "etl_run", as_of()).first()
+        report = pipeline.run_etl(spark, *inputs, str(tmp_path / f"run{i}"), "etl_run", as_of(), "load 1").first()
     clean, rejected = (spark.read.parquet(str(tmp_path / "run1" / k / "payments")) for k in ("clean", "rejected"))
     assert clean.count() + rejected.count() == inputs[1].select("transaction_id").distinct().count()
     facts = spark.table("etl_run.fact_payments")
     assert facts.count() == clean.count() and facts.where("merchant_category_id IS NULL OR age_category_id IS NULL").isEmpty()
     assert report.total_checks == report.passed_checks + report.failed_checks
     assert spark.read.json(str(tmp_path / "run1" / "quality" / "report")).count() == 1
+    again = VersionedTable(spark, str(tmp_path / "run1" / "fact_payments"))
+    assert again.manifest().loads == ["load 1"] and again.read().count() == facts.count()
+    audit = {r.table_name: r.record_count for r in spark.read.parquet(str(tmp_path / "run1" / "audit")).collect()}
+    assert audit["fact_payments"] == facts.count() and set(audit) >= {"dim_date", "dim_location", "fact_persons"}
     assert spark.table("v_spending_by_age").count() > 0
 
 
