@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +11,14 @@ from ledgerlens.llm import (
 )
 from ledgerlens.llm.common import table
 
-#: Where the public vocabularies lie, the same on every machine.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Files of the public vocabularies; they lie in the same place on every machine.
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
 def op1_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return sentencepieces.digests(sentencepieces.encode_decode(docs, f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"]))
+    return sentencepieces.digests(sentencepieces.encode_decode(docs, PIECES, keep=["doc_id"]))
 
 
 def op2_line_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -81,7 +80,7 @@ def op9_chat(spark: SparkSession, d: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return tokenfiles.digests(tokenfiles.round_trip(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
+    return tokenfiles.digests(tokenfiles.round_trip(docs, WORDS))
 
 
 def op11_language_id(spark: SparkSession, d: str) -> DataFrame:

@@ -110,7 +110,9 @@ class Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the library takes the strings of special tokens out of a text before anything else
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)", re.IGNORECASE)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -145,13 +147,17 @@ class Words(dict):
         """Ids of whole texts, as the library gives them, as unsigned 32-bit integers."""
         if not self.apart:
             return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        split = [self._words(t or "") for t in texts]
+        whole = {i for i, t in enumerate(texts) if t and "<|" in t and self.special.search(t)}  # coded in one piece
+        split = [[] if i in whole else self._words(t or "") for i, t in enumerate(texts)]
         if len(self) >= REMEMBERED:
             self.clear()
         new = [w for w in set().union(*split) if w not in self]
         if new:
             self.learn(new)
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        out = [b"".join(map(self.__getitem__, words)) for words in split]
+        for i in whole:
+            out[i] = array("I", self.tokenizer.encode(texts[i], add_special_tokens=False).ids).tobytes()
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -241,19 +247,32 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 def ids_at(spark: SparkSession, folder: str, positions: DataFrame) -> DataFrame:
     """``position, id`` for each row of ``positions`` (a ``position`` in the whole sequence): random access.
 
-    Positions outside the sequence give a null id. Each segment is opened once per position in it; no other id is decoded.
+    Positions outside the sequence, and null ones, give a null id. Positions meet
+    segments by cells of equal width; those of one segment come to it together, and it is opened once.
+    No other id is decoded.
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(folder)
-    index = files.join(F.broadcast(_part_starts(files)), "part").select(
-        (F.col("before") + F.col("part_start")).alias("first"), "n_ids", "codes")
-    found = positions.select("position").distinct().join(
-        index, (F.col("position") >= F.col("first")) & (F.col("position") < F.col("first") + F.col("n_ids")))
+    index = files.select("part", "segment", "part_start", "n_ids").join(F.broadcast(_part_starts(files)), "part").select(
+        "part", "segment", (F.col("before") + F.col("part_start")).alias("first"), "n_ids")
+    wanted = positions.select(F.col("position").cast("long").alias("position")).where(F.col("position") >= 0).distinct()
+    # cells as wide as the longest segment: a segment lies in two cells at most, and a cell is an equality
+    stride = index.agg(F.coalesce(F.max("n_ids"), F.lit(1))).first()[0] or 1
+    cell = F.floor(F.col("position") / F.lit(stride))
+    spans = index.withColumn("cell", F.explode(F.sequence(F.floor(F.col("first") / F.lit(stride)), F.floor((F.col("first") + F.greatest("n_ids", F.lit(1)) - 1) / F.lit(stride)))))
+    met = wanted.withColumn("cell", cell).join(spans.select("cell", "part", "segment", "first", "n_ids"), "cell").where(
+        (F.col("position") >= F.col("first")) & (F.col("position") < F.col("first") + F.col("n_ids")))
+    asked = met.groupBy("part", "segment", "first").agg(F.collect_list("position").alias("positions"))  # as many as a segment has ids
+    rows = asked.join(files.select("part", "segment", "codes"), ["part", "segment"]).select("first", "positions", "codes")
+    schema = T.StructType([T.StructField("position", T.LongType()), T.StructField("id", T.LongType())])
 
-    @F.udf("long")
-    def pick(codes, i):
-        return Packed(bytes(codes))[i]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, places, codes in zip(*(c.to_pylist() for c in batch.columns)):
+                packed = Packed(codes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(places, pa.int64()), pa.array([packed[p - first] for p in places], pa.int64())], names=schema.names)
 
-    found = found.select("position", pick("codes", F.col("position") - F.col("first")).alias("id"))
+    found = rows.mapInArrow(run, schema)
     return positions.select("position").join(found, "position", "left")
 
 

@@ -1,9 +1,12 @@
 """Operators 2 and 6 against brute force over all pairs."""
 
+import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import regex
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import components, hashing, jaccard, lines
@@ -126,24 +129,35 @@ def edits(a, b):
     return row[-1]
 
 
-def brute_lines(rows):
-    """What ``lines.dedup`` should keep, from all pairs of lines."""
-    import xxhash
+def near_pairs(texts):
+    """Pairs of distinct lines with the edit similarity, from all pairs; few shared 4-grams rule a pair out for certain."""
+    grams = [Counter(t[i:i + 4] for i in range(len(t) - 3)) for t in texts]
+    out = []
+    for i in range(len(texts)):
+        for j in range(i):
+            x, y = texts[i], texts[j]
+            longer = max(len(x), len(y))
+            allowed = int(longer * 0.1 + 1e-9)
+            if abs(len(x) - len(y)) > allowed or (grams[i] & grams[j]).total() < longer - 3 - 4 * allowed:
+                continue
+            start = len(os.path.commonprefix([x, y]))
+            x, y = x[start:], y[start:]
+            end = len(os.path.commonprefix([x[::-1], y[::-1]]))
+            if edits(x[:len(x) - end], y[:len(y) - end]) <= allowed:
+                out.append((i, j))
+    return out
 
-    def norm(line):
-        return re.sub(r"[\W_]+", " ", line.lower()).strip()
 
-    def print_of(text):
-        words = text.split(" ")
-        hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
-        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(words))
+def brute_lines(rows):
+    """What ``lines.dedup`` should keep, from all pairs of lines by edit similarity alone."""
+    def norm(line):
+        return regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip()
 
-    every = [(i, p, norm(x)) for i, (_, t) in enumerate(rows) if t is not None for p, x in enumerate(t.split("\n")) if len(norm(x).split(" ")) >= 5]
+    every = [(i, p, norm(x)) for i, (_, t) in enumerate(rows) if t is not None for p, x in enumerate(t.split("\n")) if norm(x)]
     distinct = sorted({x for _, _, x in every})
-    prints = [print_of(x) for x in distinct]
-    pairs = [(i, j) for i in range(len(distinct)) for j in range(i) if bin(prints[i] ^ prints[j]).count("1") <= 3
-             and edits(distinct[i], distinct[j]) <= int(max(len(distinct[i]), len(distinct[j])) * 0.1 + 1e-9)]
-    group = dict(zip(distinct, roots(len(distinct), pairs)))
+    long_ = [x for x in distinct if len(x) >= lines.LEAST_CHARS or len(x.split(" ")) >= lines.LEAST_WORDS]
+    pairs = near_pairs(long_)
+    group = {x: x for x in distinct} | {x: long_[root] for x, root in zip(long_, roots(len(long_), pairs))}
     first = {}
     for i, p, x in every:
         at = (rows[i][0] is not None, rows[i][0] or 0, p)
@@ -155,7 +169,7 @@ def brute_lines(rows):
         kept = [x for p, x in enumerate((t or "").split("\n")) if p not in places]
         if not places:
             out.append((d, t))
-        elif any(len(norm(x).split(" ")) >= 5 for x in kept):
+        elif any(x.strip() for x in kept):
             out.append((d, "\n".join(kept)))
     return out, len(pairs)
 
@@ -199,8 +213,7 @@ def test_line_dedup_runs_no_python(spark):
 def linked_by_edits_alone(spark, texts):
     """The groups that ``line_groups`` finds, and those of all pairs by edit similarity alone."""
     distinct = sorted(set(texts))
-    pairs = [(i, j) for i in range(len(distinct)) for j in range(i) if abs(len(distinct[i]) - len(distinct[j])) <= len(distinct[i]) // 9 + 1
-             and edits(distinct[i], distinct[j]) <= int(max(len(distinct[i]), len(distinct[j])) * 0.1 + 1e-9)]
+    pairs = near_pairs(distinct)
     want = {}
     for text, root in zip(distinct, roots(len(distinct), pairs)):
         want.setdefault(root, set()).add(text)
@@ -239,3 +252,38 @@ def test_short_lines_and_lines_without_spaces_take_part(spark):
     rows = [(1, "read more\nown line one"), (2, "Read more!\nown line two"), (3, han), (4, han + "\nlast"), (5, han[:20] + "x" + han[21:] + "\nend"), (6, "...\n...")]
     got = sorted(map(tuple, lines.dedup(spark.createDataFrame(rows, DOC)).collect()))
     assert got == [(1, rows[0][1]), (2, "own line two"), (3, han), (4, "last"), (5, "end"), (6, "...\n...")]
+
+
+def test_recall_of_letters_edited_all_over_a_line(spark):
+    """Letters replaced at random places, each pair alone among the others: found by length band and share of edits."""
+    r, texts, pairs = random.Random(12), set(), []
+    for words in (5, 8, 12, 20, 35, 60, 120):
+        for share in (0.03, 0.06, 0.1):
+            for copy in range(25):
+                base = " ".join(prose(10_000 * words + int(1000 * share) + copy, words))
+                changed = list(base)
+                for at in r.sample(range(len(base)), int(len(base) * share)):
+                    changed[at] = r.choice("bcdfgh") if base[at] != " " else " "
+                texts |= {base, "".join(changed)}
+                pairs.append((words, share, base, "".join(changed)))
+    table = spark.createDataFrame([(t,) for t in texts], "norm string").select(F.unhex(F.md5("norm")).alias("line"), "norm")
+    group = {row.norm: bytes(row.group) for row in lines.line_groups(table).join(table, "line").collect()}
+    found, total = Counter(), Counter()
+    for words, share, a, b in pairs:
+        total[words, share] += 1
+        found[words, share] += a == b or (a in group and group[a] == group.get(b))
+    for key in total:
+        assert found[key] / total[key] >= (0.9 if key[1] < 0.1 else 0.5), (key, found[key] / total[key])
+    assert sum(found.values()) / sum(total.values()) >= 0.9
+
+
+def test_very_long_and_hot_lines(spark):
+    """Lines of 60,000 characters with a few edits, and a block that hundreds of near copies share."""
+    long = prose(3, 20_000)
+    edited = list(long)
+    for at in (5, 9000, 19_990):
+        edited[at] = "zz"
+    base = prose(4, 12)
+    hot = [" ".join([*base[:6], f"k{i}", *base[7:]]) for i in range(300)]
+    rows = [(1, " ".join(long)), (2, " ".join(edited)), *((10 + i, t) for i, t in enumerate(hot))]
+    assert {d for d, _ in map(tuple, lines.dedup(spark.createDataFrame(rows, DOC)).collect())} == {1, 10}

@@ -70,9 +70,8 @@ def test_packed_ids_random_access():
 def test_words_equal_the_library(words_path):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(words_path)
-    library.encode_special_tokens = True
     r = random.Random(4)
-    alphabet = list(" \t\n\r\x1c\x85   aAbBsStTdD'.,!?-_019ßΣσςİıÉéǅﬁ\u0301漢😀\x00’") + ["'s", "'ll", "The", "</w>", "<|endoftext|>"]
+    alphabet = list(" \t\n\r\x1c\x85   aAbBsStTdD'.,!?-_019ßΣσςİıÉéǅﬁ\u0301漢😀\x00’") + ["'s", "'ll", "The", "</w>", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|"]
     texts = ODD + ["".join(r.choice(alphabet) for _ in range(r.randint(0, 25))) for _ in range(4000)]
     ours = [np.frombuffer(x, dtype=np.uint32).tolist() for x in tf.words(words_path).encode(texts)]
     assert ours == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
@@ -81,7 +80,6 @@ def test_words_equal_the_library(words_path):
 def test_files_round_trip_and_random_access(spark, words_path, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(words_path)
-    library.encode_special_tokens = True
     rows = [(100 - i, t) for i, t in enumerate(ODD)] + [(7, None), (7, None), (7, "b"), (None, "null id")]
     docs = spark.createDataFrame(rows, DOC).withColumn("start", F.lit(1)).repartition(5)
     tf.write(docs, words_path, str(tmp_path / "ids"))
