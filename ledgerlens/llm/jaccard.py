@@ -28,9 +28,9 @@ from ledgerlens.llm.components import connected
 from ledgerlens.llm.hashing import mix, shingle_set
 
 #: Coordinates of a point; points of a leaf; members of a bucket that one task compares with as many others.
-DIMS, LEAF, BLOCK = 32, 32, 4096
+DIMS, LEAF, BLOCK = 128, 32, 4096
 #: Rounds in which classes propose one neighbour each before all that is left is verified.
-ROUNDS = 3
+ROUNDS = 2
 _U = np.uint64
 
 
