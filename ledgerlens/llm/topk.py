@@ -20,13 +20,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Candidates that one part holds at most on average (int32 components, so 64 dimensions take 128 bytes each, and twice as much again while searched).
-PART_ROWS = 200_000
+#: Candidates that one part holds at most on average (components as doubles, so 64 dimensions take 512 bytes each, and twice as much again while searched).
+PART_ROWS = 100_000
 BLOCK_DIMS = 8
-#: Components beyond this have no exact products in 64 bits.
-LARGEST = 1 << 26
+_MOST = (1 << 63) - 1
 
-FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
+#: ``beyond`` orders scores that 64 bits cannot hold; it is null for all others.
+FOUND = T.StructType([
+    T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType()), T.StructField("beyond", T.BinaryType())])
+
+
+def _beyond(score: int) -> bytes | None:
+    """Bytes in the order of the scores (products of doubles lie within 2^2200), for a score outside 64 bits."""
+    return None if -_MOST < score < _MOST else (score + (1 << 2200)).to_bytes(280, "big")
 
 
 class Candidates:
@@ -62,6 +68,12 @@ class Candidates:
                 stay = score + reach >= bar
                 if not stay.all():
                     alive, score, left = alive[stay], score[stay], left[stay]
+        if not exact and self.largest * (np.abs(query).max() if len(query) else 0) * max(len(query), 1) >= 2**62:
+            # products beyond 64 bits: integers of any size for those that are left
+            ints = [int(x) for x in query]
+            sums = [sum(int(x) * y for x, y in zip(row, ints)) for row in self.columns[:, alive].T]
+            top = sorted(range(len(alive)), key=lambda i: (-sums[i], self.ids[alive[i]]))[:k]
+            return self.ids[alive][top], np.array([sums[i] for i in top], dtype=object)
         if exact:
             whole = np.rint(score).astype(np.int64)
         else:
@@ -71,12 +83,14 @@ class Candidates:
 
 
 def whole_components(vectors: DataFrame, vec_id: str, column: str, scale: int) -> DataFrame:
-    """``id, v``: components as floor(scale * x), of the vectors that can take part."""
+    """``id, v``: components as floor(scale * x), integers held as doubles, of the vectors that can take part."""
     x = F.col(column)
-    usable = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e.cast("double")) < LARGEST / scale), F.lit(False)))
+    usable = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e.cast("double") * scale) < F.lit(float("inf"))), F.lit(False)))
+    # a 64-bit floor would overflow: what is beyond 2^52 has no fraction
+    floored = lambda y: F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)
     return vectors.where(x.isNotNull() & usable & F.col(vec_id).isNotNull()).select(
         F.col(vec_id).cast("long").alias("id"),
-        F.transform(x, lambda e: F.floor(F.lit(scale) * e.cast("double")).cast("int")).alias("v"),
+        F.transform(x, lambda e: floored(e.cast("double") * scale)).alias("v"),
     )
 
 
@@ -93,7 +107,7 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec
     known = whole_components(vectors, vec_id, column, scale)
     parts = max(2 * spark.sparkContext.defaultParallelism, -(-known.count() // PART_ROWS))
     queries = known.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    meet = known.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("kind"), "id", "v").unionByName(
+    meet = known.select(F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int").alias("part"), F.lit(0).alias("kind"), "id", "v").unionByName(
         queries.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"), "id", "v"))
     dealt = meet.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")
 
@@ -123,8 +137,9 @@ def search(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat([q for q, _, _ in found], [len(i) for _, i, _ in found]).astype(np.int64)),
                     pa.array(np.concatenate([i for _, i, _ in found]).astype(np.int64)),
-                    pa.array(np.concatenate([s for _, _, s in found]).astype(np.int64)),
+                    pa.array(np.concatenate([np.clip(s, -_MOST, _MOST).astype(np.int64) for _, _, s in found])),
+                    pa.array([_beyond(x) if s.dtype == object else None for _, _, s in found for x in s], pa.binary()),
                 ], names=FOUND.names)
 
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc_nulls_last("beyond"), "vec_id")
     return dealt.mapInArrow(run, FOUND).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
