@@ -11,6 +11,9 @@ five-word shingles of question and answer must both be in the passage.
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 from math import log
 
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import with_arrow_columns
+from ledgerlens.llm.common import staged, with_arrow_columns
 
 K1, B = 1.2, 0.75
 #: Postings of one block; characters of items in one index.
@@ -53,21 +56,37 @@ def found_share(part: list[str], passage: list[str], grams: dict[int, set]) -> f
     return len(own & grams[n]) / len(own)
 
 
+@dataclass
+class Statistics:
+    """Of all items: how many have words, their words in all, the words of the longest, and how many items hold each word."""
+
+    items: int
+    words: int
+    longest: int
+    holding: dict[str, int]
+
+    @staticmethod
+    def of(texts: list[list[str]]) -> Statistics:
+        sizes = [len(words) for words in texts]
+        return Statistics(len(texts), sum(sizes), max(sizes, default=0), dict(Counter(w for words in texts for w in set(words))))
+
+
 class ImpactIndex:
     """Postings with scaled BM25 weights, in order of item, with the largest weight of every block."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]], statistics: Statistics | None = None):
+        """``statistics`` are those of all items where ``items`` are a part of them."""
         texts = [(i, t, words_of(t)) for i, t in items]
-        texts = sorted((x for x in texts if x[2]), key=lambda x: (x[0], x[1]))
+        texts = sorted((x for x in texts if x[2]), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
         self.item_ids = [i for i, _, _ in texts]
         self.parts = [question_and_answer(t) for _, t, _ in texts]
-        self.longest = max((len(w) for _, _, w in texts), default=0)
-        mean = sum(len(w) for _, _, w in texts) / len(texts) if texts else 1
-        seen: dict[str, int] = {}
-        for _, _, words in texts:
-            for w in set(words):
-                seen[w] = seen.get(w, 0) + 1
-        idf = {w: log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for w, n in seen.items()}
+        of_all = statistics or Statistics.of([w for _, _, w in texts])
+        self.longest = of_all.longest
+        mean, seen = of_all.words / of_all.items if of_all.items else 1, of_all.holding
+        if statistics:
+            own = {w for _, _, words in texts for w in words}
+            seen = {w: n for w, n in seen.items() if w in own}
+        idf = {w: log(1 + (of_all.items - n + 0.5) / (n + 0.5)) for w, n in seen.items()}
         lists: dict[str, tuple[list[int], list[float]]] = {w: ([], []) for w in sorted(seen)}
         for at, (_, _, words) in enumerate(texts):
             weight = {}
@@ -180,13 +199,41 @@ MATCHES = T.StructType([T.StructField("matches", T.ArrayType(_MATCH))])
 _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question_overlap", pa.float64()), ("answer_overlap", pa.float64())]))
 
 
-def _shards(items: DataFrame) -> list[list[tuple[int, str]]]:
-    """The items (``item_id, text``) in lists of about ``SHARD_CHARS`` characters, so that each index has a bounded size."""
-    clean = items.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+def _counted(items: DataFrame) -> DataFrame:
+    """``word, n, words, longest``: the items that hold each word; the null word has the figures of all items together."""
+    schema = T.StructType([T.StructField("word", T.StringType())] + [T.StructField(n, T.LongType()) for n in ("n", "words", "longest")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = Statistics.of([w for w in map(words_of, batch.column(0).to_pylist()) if w])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([None, *found.holding], pa.string()), pa.array([found.items, *found.holding.values()], pa.int64()),
+                *[pa.array([x] + [0] * len(found.holding), pa.int64()) for x in (found.words, found.longest)]], names=schema.names)
+
+    return items.select("text").mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
+
+
+def _indexes(items: DataFrame) -> Iterator[tuple[ImpactIndex, bool]]:
+    """The items in indexes of about ``SHARD_CHARS`` characters, one after the other, and whether one is the last.
+
+    Weights come from the statistics of all items, so they do not depend on how items are dealt.
+    The driver holds one index at a time, and the counts of its words.
+    """
+    clean = items.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     chars = clean.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // SHARD_CHARS) or 1
+    if n == 1:
+        yield ImpactIndex([tuple(r) for r in clean.collect()]), True
+        return
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[tuple(r) for r in clean.where(shard == i).collect()] for i in range(n)]
+    clean = staged(clean.withColumn("shard", shard), "items")
+    counts = staged(_counted(clean), "item-words")
+    total = counts.where("word IS NULL").agg(*[F.coalesce(F.max(x), F.lit(0)).alias(x) for x in ("n", "words", "longest")]).first()
+    for i in range(n):
+        own = [tuple(r) for r in clean.where(F.col("shard") == i).select("item_id", "text").collect()]
+        here = _counted(clean.where(F.col("shard") == i)).where("word IS NOT NULL").select("word")
+        holding = dict(counts.join(here, "word", "left_semi").select("word", "n").collect())
+        yield ImpactIndex(own, Statistics(total.n, total.words, total.longest, holding)), i == n - 1
 
 
 def with_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -194,12 +241,12 @@ def with_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Every column and row of ``docs`` stays (one called ``matches`` is replaced). Null and
     empty texts, and items without words, match nothing; rows of one item id with different
-    texts are separate items. Empty tables give no matches.
+    texts are separate items, and items without an id are found under a null one. Empty tables
+    give no matches.
     """
     out = None
-    for shard in _shards(items):
-        def make(shard=shard):
-            index = ImpactIndex(shard)
+    for index, last in _indexes(items):
+        def make(index=index):
             return lambda texts: [pa.array([
                 [dict(zip(_MATCH.names, m)) for m in index.matches(t)] for t in texts.to_pylist()], _ARROW)]
 
@@ -208,6 +255,8 @@ def with_matches(docs: DataFrame, items: DataFrame) -> DataFrame:
         else:  # a further index: its matches join those before
             more = with_arrow_columns(out.withColumnRenamed("matches", "__before"), "text", MATCHES, make)
             out = more.withColumn("matches", F.concat("__before", "matches")).drop("__before")
+        if not last:
+            out = staged(out, "matched")
     return out
 
 
