@@ -15,7 +15,7 @@ from ..functions.keys import spread
 #: Largest table that a join broadcasts, in bytes.
 SMALL_TABLE_BYTES = 25_000_000
 #: Rows of a partition and bucket that one file holds; what is beyond goes to further files, written by other tasks.
-FILE_ROWS = 4_000_000
+FILE_ROWS = 500_000
 #: Kinds of (partition, bucket, file) whose row counts are joined as a broadcast; more are joined by shuffle.
 BROADCAST_CELLS = 200_000
 
@@ -29,12 +29,13 @@ def clustered(df: DataFrame, buckets: int, key: str, partition_by: Sequence[str]
     """``df`` dealt so that each task writes whole files: all rows of a partition and bucket meet in one task.
 
     Rows are counted per partition and bucket first. A cell of more than ``file_rows`` rows, as a
-    hot key makes one, is dealt to as many tasks as it needs files.
+    hot key or a large table makes one, is dealt to as many tasks as it needs files. No two files of
+    a partition meet in one task: tasks are numbered by bucket and file, each partition from a start of its own.
     """
     cell = [*partition_by, "_bucket"]
     rows = df.withColumn("_bucket", bucket_of(buckets, key))
-    counts = rows.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(file_rows)).cast("int").alias("_files"))
-    facts = counts.agg(F.count(F.lit(1)).alias("cells"), F.max("_files").alias("most"), F.sum("_files").alias("files")).first()
+    counts = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_files", F.ceil(F.col("_rows") / F.lit(file_rows)).cast("int"))
+    facts = counts.agg(F.count(F.lit(1)).alias("cells"), F.max("_files").alias("most"), F.sum("_files").alias("files"), F.sum("_rows").alias("rows")).first()
     if not facts.cells:
         return df
     dealt = rows.withColumn("_file", F.lit(0))
@@ -43,8 +44,10 @@ def clustered(df: DataFrame, buckets: int, key: str, partition_by: Sequence[str]
         on = [F.col(n).eqNullSafe(F.col(f"_{n}_of")) for n in cell]
         dealt = rows.join(F.broadcast(large) if facts.cells <= BROADCAST_CELLS else large, on, "left").withColumn(
             "_file", F.coalesce(F.pmod(spread(df.columns), F.col("_files")), F.lit(0))).drop(*[f"_{n}_of" for n in cell], "_files")
-    tasks = min(int(facts.files), max(buckets, 8 * df.sparkSession.sparkContext.defaultParallelism))
-    return dealt.repartition(tasks, *cell, "_file").drop("_bucket", "_file")
+    tasks = max(buckets * facts.most, min(facts.files, 8 * df.sparkSession.sparkContext.defaultParallelism), -(-facts.rows // file_rows))
+    start = F.pmod(F.xxhash64(*partition_by), F.lit(tasks)) if partition_by else F.lit(0)
+    task = F.pmod(F.col("_file") * F.lit(buckets) + F.col("_bucket") + start, F.lit(tasks)).cast("int")
+    return dealt.repartitionById(tasks, task).drop("_bucket", "_file")
 
 
 def save_bucketed(df: DataFrame, name: str, buckets: int, key: str, partition_by: Sequence[str] = (), mode: str = "error",

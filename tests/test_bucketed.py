@@ -75,6 +75,18 @@ def test_a_hot_key_is_written_by_several_tasks(spark, tmp_path):
     assert empty.count() == 0
 
 
+def test_no_task_writes_two_buckets_of_a_partition(spark):
+    """Cells were dealt by hash before: of 16 buckets in 16 tasks some met, and one task read four of them."""
+    rows = spark.range(8000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("p"))
+    for by, file_rows in (((), 4000), ((), 200), (("p",), 4000), (("p",), 50)):
+        dealt = bucketed.clustered(rows, 16, "k", by, file_rows).select(
+            "k", *by, bucketed.bucket_of(16, "k").alias("bucket"), F.spark_partition_id().alias("task"))
+        assert dealt.count() == dealt.select("k").distinct().count() == 8000
+        assert dealt.groupBy("task", *by).agg(F.countDistinct("bucket").alias("n")).agg(F.max("n")).first()[0] == 1
+        if not by:
+            assert dealt.groupBy("task").count().agg(F.max("count")).first()[0] < 1.5 * min(file_rows, 500)
+
+
 def test_surrogate_keys_do_not_collide(spark):
     rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("~", "x"), (None, "x"), ("1:a", "b"), ("", "a"), ("a", ""), (None, None), ("~", "~"), ("", "")], "a string, b string")
     assert rows.select(keys.stable_id(("a", "b"))).distinct().count() == 10
