@@ -494,8 +494,9 @@ def stream_restart(spark, d):
 
 def _payment_counts(spark, topic, max_files: int = writers.BATCH_FILES):
     out = workspace.new_path(spark, "stream-counts")
-    records = jobs.replay(spark, topic, jobs.StreamSettings(max_files=max_files))
-    query = jobs.updates_to_parquet(jobs.payment_counts(records), out, workspace.new_path(spark, "ckpt"))
+    settings = jobs.StreamSettings(max_files=max_files, state_partitions=jobs.REPLAY_PARTITIONS)
+    records = jobs.replay(spark, topic, settings)
+    query = jobs.updates_to_parquet(jobs.payment_counts(records), out, workspace.new_path(spark, "ckpt"), None, settings)
     query.awaitTermination()
     by = ("transaction_status", "sender_age_group")
     counts = jobs.latest_updates(spark, out, by)
@@ -515,8 +516,10 @@ def stream_late_drop(spark, d):
     late = beside(records, old).where(at < c("t")).drop("t")
     staged = workspace.new_path(spark, "late")
     late.write.parquet(staged)
+    files = len(records.inputFiles())
     writers.write_in_time_order(spark.read.schema(readers.RECORD).parquet(staged), topic)  # behind all files that are there
-    return _payment_counts(spark, topic, max_files=2)
+    # half of the files or more are counted before the batch that the first late record is in
+    return _payment_counts(spark, topic, max_files=max(1, min(writers.BATCH_FILES, files // 2)))
 
 
 def stream_event_counts(spark, d):
@@ -526,7 +529,8 @@ def stream_event_counts(spark, d):
     rows = spark.readStream.schema("kafka_timestamp timestamp, event_type string").options(**_BOUNDED).parquet(topic)
     out = workspace.new_path(spark, "stream-events")
     query = jobs.updates_to_parquet(
-        jobs.tumbling_counts(rows, ("event_type",)), out, workspace.new_path(spark, "ckpt")
+        jobs.tumbling_counts(rows, ("event_type",)), out, workspace.new_path(spark, "ckpt"), None,
+        jobs.StreamSettings(state_partitions=jobs.REPLAY_PARTITIONS),
     )
     query.awaitTermination()
     counts = jobs.latest_updates(spark, out, ("event_type",))

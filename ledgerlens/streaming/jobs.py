@@ -18,6 +18,8 @@ from ..sources import readers
 from ..sources.writers import with_landing_keys
 
 WATERMARK, WINDOW, TRIGGER = "10 minutes", "5 minutes", "30 seconds"
+#: State partitions of a replay: a batch in order of time has few open windows, and every batch pays for each partition.
+REPLAY_PARTITIONS = 8
 
 
 @dataclass(frozen=True)

@@ -75,3 +75,17 @@ def test_a_stopped_count_goes_on_from_its_checkpoint(spark, tmp_path):
     assert sum(r["count"] for r in found) == 300 and len(found) == 60 and {r["count"] for r in found} == {5}
     kept = sorted(int(n) for n in os.listdir(f"{ckpt}/commits") if n.isdigit())
     assert kept[-1] >= 9 and len(kept) <= 7  # of all batches the last ones
+
+
+def test_late_rows_are_replayed_in_large_batches(spark, monkeypatch):
+    """Two files a batch and a state partition for each shuffle partition before, whatever the topic's size."""
+    import __spark_entry__ as entry
+
+    used, start = [], jobs.updates_to_parquet
+    monkeypatch.setattr(writers, "TOPIC_FILE_ROWS", 50)
+    monkeypatch.setattr(jobs, "updates_to_parquet", lambda *a: used.append((a[2], start(*a))) or used[-1][1])
+    late, plain = (make(spark, "/root/testdata/sf0.001").collect() for make in (entry.stream_late_drop, entry.stream_tumbling_count))
+    assert sorted(late, key=str) == sorted(plain, key=str)  # no late record is counted
+    for checkpoint, query in used:
+        batches = [int(n) for n in os.listdir(f"{checkpoint}/commits") if n.isdigit()]
+        assert max(batches) + 1 <= 8 and len([n for n in os.listdir(f"{checkpoint}/state/0") if n.isdigit()]) == jobs.REPLAY_PARTITIONS
