@@ -275,7 +275,10 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carr
 
     links, components = None, None
     for best_only in [True] * ROUNDS + [False]:
-        found = staged(_verified(_propose(members, points, components, num, den, best_only), sets, num, den), "verified")
+        # the shuffles of members and points can go before the sets are shuffled
+        proposed = staged(_propose(members, points, components, num, den, best_only), "proposed")
+        found = staged(_verified(proposed, sets, num, den), "verified")
+        discard(proposed)
         if found.isEmpty():
             if best_only:
                 continue
