@@ -190,23 +190,37 @@ def _propose(members: DataFrame, points: DataFrame, components: DataFrame | None
     return dealt.mapInArrow(run, PAIR).distinct()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose sets link."""
-    left = sets.select(F.col("key").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("key").alias("b"), F.col("hashes").alias("hb"))
+def low_part(hashes: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The lowest hashes of a set: of one half more of all than sets that link can lack, so that sets with nothing in common are told by them."""
+    share = min(1.0, 1.5 * (den - num) / (den + num))
+    return hashes[:np.searchsorted(hashes, _U(min(int(share * 2.0 ** 64), 2 ** 64 - 1)))]
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, column: str, num: int, den: int) -> DataFrame:
+    """The pairs whose sets may link, as all or the lowest of their hashes say: what is not compared counts as common as far as sizes allow."""
+    left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col(column).alias("ha"))
+    right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col(column).alias("hb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, ha, hb = batch.columns
+            a, b, na, nb, ha, hb = batch.columns
             keep = []
-            for i in range(batch.num_rows):
+            for i, (n, m) in enumerate(zip(na.to_pylist(), nb.to_pylist())):
                 x, y = (np.frombuffer(h[i].as_buffer(), dtype=_U) for h in (ha, hb))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * common >= num * (len(x) + len(y) - common))
+                common = len(np.intersect1d(x, y, assume_unique=True)) + min(n - len(x), m - len(y))
+                keep.append(den * common >= num * (n + m - common))
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=PAIR.names)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "ha", "hb").mapInArrow(run, PAIR)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(run, PAIR)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets link, staged. Large sets that met by chance part on their lowest hashes: their whole sets are not moved."""
+    possible = staged(_compared(pairs, sets, "low", num, den), "possible")
+    found = staged(_compared(possible, sets, "hashes", num, den), "verified")
+    discard(possible)
+    return found
 
 
 def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carry: list[str] | None = None) -> DataFrame:
@@ -262,12 +276,14 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carr
         def run(texts: pa.Array) -> list[pa.Array]:
             sets = [shingle_set(t, words) for t in texts.to_pylist()]
             return [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                    pa.array([point(s) for s in sets], pa.binary()), pa.array([low_part(s, num, den).tobytes() for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary())]
 
         return run
 
     rebuilt = T.StructType([
-        T.StructField("got", T.LongType()), T.StructField("n", T.LongType()), T.StructField("point", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
+        T.StructField("got", T.LongType()), T.StructField("n", T.LongType()), T.StructField("point", T.BinaryType()),
+        T.StructField("low", T.BinaryType()), T.StructField("hashes", T.BinaryType())])
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("of"))).select("key", "text")
     sets = with_arrow_columns(texts, "text", rebuilt, rebuild, keep=["key"]).where(F.col("got") == F.col("key"))
     sets = staged(sets.drop("got").dropDuplicates(["key"]), "sets")
@@ -277,7 +293,7 @@ def classes(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, carr
     for best_only in [True] * ROUNDS + [False]:
         # the shuffles of members and points can go before the sets are shuffled
         proposed = staged(_propose(members, points, components, num, den, best_only), "proposed")
-        found = staged(_verified(proposed, sets, num, den), "verified")
+        found = _verified(proposed, sets, num, den)
         discard(proposed)
         if found.isEmpty():
             if best_only:

@@ -81,6 +81,27 @@ def test_buckets_larger_than_a_block_lose_no_link(spark, monkeypatch):
     assert dict(jaccard.classes(spark.createDataFrame(rows, DOC)).select("doc_id", "component_id").collect()) == dict(enumerate(root))
 
 
+def test_large_sets_part_on_their_lowest_hashes(spark):
+    """Sets that met by chance are told apart without moving them whole; sets that link stay, on their lowest hashes and on all."""
+    r = np.random.default_rng(5)
+    sets = [np.unique(r.integers(0, 2 ** 63, 6000, dtype=np.uint64) * np.uint64(2)) for _ in range(12)]
+    for share in (0.97, 0.89, 0.885, 0.8, 0.5, 0.0):
+        kept = sets[0][r.random(len(sets[0])) < share]
+        sets.append(np.union1d(kept, r.integers(0, 2 ** 63, 6000 - len(kept), dtype=np.uint64)))
+    sets += [sets[0][:3], sets[0][1:4], sets[0][:2]]
+    for num, den in ((90, 100), (80, 100), (1, 1)):
+        rows = [(i, len(s), bytearray(jaccard.low_part(s, num, den).tobytes()), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+        frame = spark.createDataFrame(rows, "key long, n long, low binary, hashes binary")
+        pairs = spark.createDataFrame([(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))], "a long, b long")
+        linked = {(i, j) for i, j in map(tuple, pairs.collect())
+                  if den * len(c := np.intersect1d(sets[i], sets[j])) >= num * (len(sets[i]) + len(sets[j]) - len(c))}
+        possible = {tuple(x) for x in jaccard._compared(pairs, frame, "low", num, den).collect()}
+        assert linked <= possible and {tuple(x) for x in jaccard._verified(pairs, frame, num, den).collect()} == linked
+        if num < den:
+            assert sum(len(rows[i][2]) for i in range(12)) < 0.2 * sum(len(rows[i][3]) for i in range(12))
+            assert not [(i, j) for i, j in possible if j < 12]
+
+
 def test_tree_bound_never_hides_a_link():
     r = np.random.default_rng(1)
     sets = []
