@@ -225,6 +225,29 @@ def test_line_dedup_of_repeated_rows_and_nothing(spark):
     assert lines.dedup(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_ends_part_unrelated_lines_and_hide_no_link(spark):
+    """Unrelated lines are told apart on their ends, without their whole texts; lines that link stay, wherever their edits lie."""
+    r, texts, linked = random.Random(3), [], []
+    for size in (20, 45, 130, 600, 2500):
+        base = " ".join(prose(size, size))[:size].strip()
+        k = len(base) // 10
+        other = "".join(r.choice("qwzy") for _ in range(k))
+        variants = [base, base[k:], base[:-k], base[:len(base) // 2] + base[len(base) // 2 + k:], other[:k // 2] + base[k // 2:-(k // 2) or None] + other[k // 2:],
+                    base[k // 2:] + other[:k // 2], other[:k // 2] + base[:len(base) - k // 2]]
+        linked += [(len(texts), len(texts) + i) for i in range(1, len(variants))]
+        texts += variants
+    unrelated = [(len(texts) + 2 * i, len(texts) + 2 * i + 1) for i in range(40)]
+    texts += [" ".join(prose(500 + i, 120))[:400 + i // 2].strip() for i in range(80)]
+    named = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "line long, norm string, size int")
+    pairs = spark.createDataFrame(linked + unrelated, "a long, b long")
+    true = {tuple(x) for x in pairs.join(named.toDF("a", "x", "n"), "a").join(named.toDF("b", "y", "m"), "b").where(
+        F.expr("levenshtein(x, y) <= floor(greatest(n, m) * 0.1 + 1e-9)")).select("a", "b").collect()}
+    agree = {tuple(x) for x in lines._ends_agree(pairs, named).collect()}
+    assert len(true) >= 20 and true <= agree
+    assert len(agree & set(unrelated)) <= 4
+    assert {tuple(x) for x in lines._verified(pairs, named).collect()} == true
+
+
 def test_line_dedup_runs_no_python(spark):
     docs = spark.createDataFrame([(1, " ".join(prose(1, 9)))], DOC)
     plan = lines.dedup(docs)._jdf.queryExecution().toString()
