@@ -38,8 +38,8 @@ CHUNK_BITS = 8
 BLOCK = 512
 #: Ids in a segment after which the next document starts another one.
 SEGMENT_IDS = 1 << 17
-#: Words that a worker remembers; it starts anew beyond them.
-REMEMBERED = 600_000
+#: Words that a worker remembers at most: as many as half of it since it last sorted out, and those remembered then.
+REMEMBERED = 900_000
 
 
 def pack(ids: np.ndarray) -> bytes:
@@ -109,6 +109,7 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.before: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         # the library takes the strings of special tokens out of a text before anything else
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.special]
@@ -149,9 +150,12 @@ class Words(dict):
             return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         whole = {i for i, t in enumerate(texts) if t and "<|" in t and self.special.search(t)}  # coded in one piece
         split = [[] if i in whole else self._words(t or "") for i, t in enumerate(texts)]
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED // 2:  # words that do not recur while as many others come are forgotten
+            self.before = dict(self)
             self.clear()
         new = [w for w in set().union(*split) if w not in self]
+        self.update((w, self.before[w]) for w in new if w in self.before)
+        new = [w for w in new if w not in self]
         if new:
             self.learn(new)
         out = [b"".join(map(self.__getitem__, words)) for words in split]

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from array import array
 
 import numpy as np
 import pytest
@@ -77,6 +78,19 @@ def test_words_equal_the_library(words_path):
     assert ours == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_that_recur_are_learnt_once(words_path, monkeypatch):
+    """A full memory forgets words that do not recur, not those of every text; ids stay those of the library."""
+    monkeypatch.setattr(tf, "REMEMBERED", 400)
+    coder, learnt = tf.Words(words_path), []
+    learn = coder.learn
+    monkeypatch.setattr(coder, "learn", lambda words: (learnt.extend(words), learn(words)))
+    texts = ["the common words of all texts " + " ".join(f"rare{'abcdefghij'[i % 10]}{'klmnopqrst'[j % 10]}{'uvwxyz'[(i + j) % 6]}{chr(97 + i)}" for j in range(60)) for i in range(20)]
+    got = [coder.encode([t])[0] for t in texts]
+    assert got == [array("I", x.ids).tobytes() for x in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert learnt.count("common") == 1 and len(learnt) > 400
+    assert len(coder) + len(coder.before) <= 400 + 2 * 70
+
+
 def test_files_round_trip_and_random_access(spark, words_path, tmp_path):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(words_path)
