@@ -248,6 +248,52 @@ def test_ends_part_unrelated_lines_and_hide_no_link(spark):
     assert {tuple(x) for x in lines._verified(pairs, named).collect()} == true
 
 
+def test_letters_part_lines_that_share_a_passage_and_hide_no_link(spark, monkeypatch):
+    """Hundreds of unrelated lines with one ending, and long lines of common words, are not paired off; edited lines still link."""
+    r, ending = random.Random(21), " ".join(prose(77, 12))
+    hot = [" ".join(prose(9000 + i, 20)) + " " + ending for i in range(300)]
+    common = [" ".join(r.choice(["the", "of", "and", "in", "to", *prose(20_000 + i, 8)]) for _ in range(70)) for i in range(150)]
+    linked = []
+    for base in hot[:20] + common[:20]:
+        changed = list(base)
+        for at in r.sample(range(len(base)), len(base) // 20):
+            changed[at] = r.choice("bcdfgh") if base[at] != " " else " "
+        linked.append(("".join(changed), base))
+    counted, verified = [], lines._verified
+
+    def counting(pairs, named):
+        counted.append(pairs.count())
+        return verified(pairs, named)
+
+    monkeypatch.setattr(lines, "_verified", counting)
+    texts = sorted({*hot, *common, *(x for x, _ in linked)})
+    table = spark.createDataFrame([(t,) for t in texts], "norm string").select(F.unhex(F.md5("norm")).alias("line"), "norm")
+    group = {row.norm: bytes(row.group) for row in lines.line_groups(table).join(table, "line").collect()}
+    assert all(a in group and group[a] == group.get(b) for a, b in linked)
+    assert len(group) == 2 * len(linked)
+    assert sum(counted) < 16_000, counted  # 33,000 of the 300 lines alone if letters are not looked at
+
+
+def test_letter_counts_never_exceed_the_edits(spark):
+    r, rows = random.Random(4), []
+    for size in (20, 60, 300, 3000):
+        for _ in range(40):
+            base = list(" ".join(prose(r.randrange(10 ** 6), size))[:size].strip())
+            other = list(base)
+            for _ in range(len(base) // 10):
+                at, kind = r.randrange(len(other)), r.randrange(3)
+                other[at:at + 1] = [[r.choice("etaoxq \u00e9")], [], [other[at], r.choice("etao ")]][kind]
+            rows.append(("".join(base), "".join(other)))
+    rows += [("z" * 400 + "e" * 400, "z" * 440 + "e" * 360), ("\u4e00" * 30, "\u4e00" * 27), ("e" * 300, "t" * 300)]
+    sides = [F.struct(F.length("norm").alias("size"), *lines._letter_counts()) for _ in "ab"]
+    table = spark.createDataFrame([(i, j, t) for i, pair in enumerate(rows) for j, t in enumerate(pair)], "i int, j int, norm string").withColumn("n", lines._words(F.col("norm")))
+    a, b = (table.where(F.col("j") == j).select("i", F.col("norm").alias("xy"[j]), sides[j].alias("ab"[j])) for j in (0, 1))
+    near = F.expr("levenshtein(x, y) <= floor(greatest(length(x), length(y)) * 0.1 + 1e-9)")
+    got = a.join(b, "i").select("i", near.alias("near"), lines._letters_agree("a", "b").alias("agree")).collect()
+    assert sum(x.near for x in got) > 100 and all(x.agree for x in got if x.near)
+    assert not {x.i: x.agree for x in got}[len(rows) - 1]
+
+
 def test_line_dedup_runs_no_python(spark):
     docs = spark.createDataFrame([(1, " ".join(prose(1, 9)))], DOC)
     plan = lines.dedup(docs)._jdf.queryExecution().toString()
