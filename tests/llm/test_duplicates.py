@@ -294,6 +294,53 @@ def test_letter_counts_never_exceed_the_edits(spark):
     assert not {x.i: x.agree for x in got}[len(rows) - 1]
 
 
+def test_pieces_part_long_lines_of_common_words_and_hide_no_link(spark):
+    """Letters say little of long lines of common words; their pieces part them, and none that links is parted."""
+    r, texts = random.Random(11), []
+    for _ in range(12):
+        words = ["".join(r.choice("etaoinsrhld") for _ in range(r.randint(4, 9))) for _ in range(120)]
+        texts.append(" ".join(r.choice(["the", "of", "and", "in", "to", *words]) for _ in range(400))[:1500].strip())
+    unrelated = [(i, j) for i in range(12) for j in range(i)]
+    linked = []
+    for base in [texts[0], texts[1], "\u00e9" * 30 + " ab " * 40, " ".join(prose(5, 9))]:
+        k = len(base) // 10
+        spread = list(base)
+        for at in range(0, 10 * k, 10):
+            spread[at] = "\u4e00"
+        for other in (base[k:], "\u4e00" * (k // 2) + base[k // 2:], "".join(spread), base[:40] + "q" * (k // 2) + base[40 + k // 2:]):
+            linked.append((len(texts), len(texts) + 1))
+            texts += [base, other]
+    linked += [(b, a) for a, b in linked]
+    named = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "line long, norm string, size int")
+    agree = {tuple(x) for x in lines._ends_agree(spark.createDataFrame(unrelated + linked, "a long, b long"), named).collect()}
+    assert set(linked) <= agree and not agree & set(unrelated)
+
+
+def test_second_round_pairs_lines_once(spark, monkeypatch):
+    """Lines that share many blocks are paired in the first of these only, without a shuffle of all pairs that tells them apart."""
+    given, verified, base = [], lines._verified, prose(40, 30)
+    texts = [" ".join([*base[:i % 25], f"k{i}", "qq zz", *base[i % 25 + 3:]]) for i in range(80)]
+    texts += [" ".join([*base[:12], *prose(900 + i, 18)]) for i in range(20)]
+
+    def seen(pairs, named):
+        given.append((pairs.count(), pairs.distinct().count(), pairs._jdf.queryExecution().optimizedPlan().toString()))
+        return verified(pairs, named)
+
+    monkeypatch.setattr(lines, "_verified", seen)
+    table = spark.createDataFrame([(t,) for t in texts], "norm string").select(F.unhex(F.md5("norm")).alias("line"), "norm")
+    got = {}
+    for row in lines.line_groups(table).join(table, "line").collect():
+        got.setdefault(bytes(row.group), set()).add(row.norm)
+    monkeypatch.setattr(lines, "_verified", verified)
+    pairs = near_pairs(texts)
+    want = {}
+    for text, root in zip(texts, roots(len(texts), pairs)):
+        want.setdefault(root, set()).add(text)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+    (_, _, _), (n, different, plan) = given
+    assert n == different > 20 and not re.match("Aggregate|Deduplicate", plan.lstrip())
+
+
 def test_line_dedup_runs_no_python(spark):
     docs = spark.createDataFrame([(1, " ".join(prose(1, 9)))], DOC)
     plan = lines.dedup(docs)._jdf.queryExecution().toString()
